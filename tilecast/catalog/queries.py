@@ -17,6 +17,7 @@ from tilecast.functions.calendar import (
     is_weekend,
     shifted_hour,
 )
+from tilecast.functions.geo import add_lat_long
 from tilecast.operators import clusters, evaluation, exploration, scaling, selection, series
 from tilecast.operators import statistics as stats
 from tilecast.operators.completion import complete_ticks
@@ -186,11 +187,12 @@ def feature_lookup(spark, sf_dir):
 
 
 def baseline_model(spark, sf_dir):
-    return comparable(MeanForecaster().fit(_train(spark, sf_dir)).table)
+    return comparable(MeanForecaster().fit(_train(spark, sf_dir)).table.drop("last_day"))
 
 
 def baseline_median_model(spark, sf_dir):
-    return comparable(MeanForecaster("median").fit(_train(spark, sf_dir)).table)
+    model = MeanForecaster("median").fit(_train(spark, sf_dir))
+    return comparable(model.table.drop("last_day"))
 
 
 def future_ticks(spark, sf_dir):
@@ -348,8 +350,8 @@ def place_series(spark, sf_dir):
 
 
 def geo_clusters(spark, sf_dir):
-    profile = stats.place_points(_demand(spark, sf_dir))
-    return comparable(clusters.add_geo_cluster(profile))
+    places = materialize(stats.place_points(_demand(spark, sf_dir)), "places")
+    return comparable(clusters.add_geo_cluster(places, clusters.fit_geo_centres(places)))
 
 
 def full_features(spark, sf_dir):
@@ -375,19 +377,23 @@ def robust_scaled_target(spark, sf_dir):
 
 
 def _pattern_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    full = add_demand_statistics(_full(spark, sf_dir))
-    return materialize(clusters.pattern_points(full), "patterns")
+    table = materialize(stats.gdowh_stats(_full(spark, sf_dir)), "patterns")
+    return add_lat_long(table)
 
 
 def gdowh_clusters(spark, sf_dir):
-    return clusters.add_pattern_cluster(_pattern_table(spark, sf_dir))
+    patterns = _pattern_table(spark, sf_dir)
+    model = clusters.fit_pattern_mixture(patterns)
+    return clusters.label_rows(
+        model, patterns, clusters.PATTERN, "cluster_gdowh", "cluster_prob_gdowh"
+    )
 
 
 def row_clusters(spark, sf_dir):
     rows = materialize(
         _demand(spark, sf_dir).select("geohash6", "lat", "long", "demand"), "rows"
     )
-    mixture = clusters.GaussianMixture(k=3, seed=clusters.SEED)
+    mixture = clusters.mixture(3, rows.count())
     columns = ["lat", "long", "demand"]
     labelled = clusters.add_cluster(mixture, rows, rows, columns, "cluster", "cluster_prob")
     return labelled.groupBy("geohash6", "lat", "long", "cluster").agg(

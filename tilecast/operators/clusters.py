@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from tilecast.functions.geo import haversine_km
 from tilecast.operators.statistics import place_points
-from tilecast.schema import GDOWH
 
 PATTERN = ["lat", "long", "dow", "hour", "median_demand_per_gdowh", "mean_demand_per_gdowh"]
 SEED = 1
+GAIN_PER_POINT = 1e-3
 _VECTOR = "_vector"
 
 
@@ -81,15 +81,20 @@ def add_cluster(
     return label_rows(model, df, columns, id_col, prob_col)
 
 
-def add_geo_cluster(df: DataFrame, k: int = 2, seed: int = SEED) -> DataFrame:
-    """``cluster_geo``, its centre, and ``dist_to_center_km``.
+def fit_geo_centres(df: DataFrame, k: int = 2, seed: int = SEED) -> list[list[float]]:
+    """Centres of k-means over the distinct places of ``df``, in (lat, long) order.
 
-    The centres come from the distinct places, so busy places weigh no more than quiet ones. They
-    are k constants, and the nearest one is plain column arithmetic on each row.
+    Busy places weigh no more than quiet ones.
     """
     kmeans = KMeans(k=k, seed=seed, maxIter=300, tol=1e-9)
-    model = fit_cluster(kmeans, place_points(df), ["lat", "long"])
-    centres = sorted(_centres(model))
+    return sorted(_centres(fit_cluster(kmeans, place_points(df), ["lat", "long"])))
+
+
+def add_geo_cluster(df: DataFrame, centres: Sequence[Sequence[float]]) -> DataFrame:
+    """``cluster_geo``, its centre, and ``dist_to_center_km``.
+
+    The centres are a few constants, so the nearest one is plain column arithmetic on each row.
+    """
 
     def off(centre: Sequence[float]) -> Column:
         d_lat, d_long = F.col("lat") - centre[0], F.col("long") - centre[1]
@@ -103,7 +108,7 @@ def add_geo_cluster(df: DataFrame, k: int = 2, seed: int = SEED) -> DataFrame:
             ]
         )
     )
-    mid = [F.array(*[F.lit(c[axis]) for c in centres]) for axis in (0, 1)]
+    mid = [F.array(*[F.lit(float(c[axis])) for c in centres]) for axis in (0, 1)]
     df = df.withColumn("cluster_geo", nearest["id"])
     df = df.withColumns(
         {
@@ -117,23 +122,20 @@ def add_geo_cluster(df: DataFrame, k: int = 2, seed: int = SEED) -> DataFrame:
     return df.withColumn("dist_to_center_km", distance)
 
 
-def pattern_points(df: DataFrame) -> DataFrame:
-    """One row per place, day of week and hour with the columns patterns are clustered on.
+def mixture(k: int, n_points: int, seed: int = SEED, max_iter: int = 100) -> GaussianMixture:
+    """A Gaussian mixture that stops once an iteration gains under 0.001 per point.
 
-    They are constant in a group, so the largest is the value itself, bit for bit.
+    Spark compares the gain over all points with its tolerance, hence the factor.
     """
-    rest = [c for c in PATTERN if c not in GDOWH]
-    return df.groupBy(*GDOWH).agg(*[F.max(c).alias(c) for c in rest])
+    return GaussianMixture(k=k, seed=seed, maxIter=max_iter, tol=GAIN_PER_POINT * max(n_points, 1))
 
 
-def add_pattern_cluster(
-    df: DataFrame, k: int = 8, seed: int = SEED, max_iter: int = 100
-) -> DataFrame:
-    """``cluster_gdowh`` and ``cluster_prob_gdowh`` from a mixture over demand patterns."""
-    mixture = GaussianMixture(k=k, seed=seed, maxIter=max_iter)
-    return add_cluster(
-        mixture, pattern_points(df), df, PATTERN, "cluster_gdowh", "cluster_prob_gdowh"
-    )
+def fit_pattern_mixture(
+    patterns: DataFrame, k: int = 8, seed: int = SEED, max_iter: int = 100
+) -> Model:
+    """Mixture over demand patterns: one row per place, day of week and hour."""
+    estimator = mixture(k, patterns.count(), seed, max_iter)
+    return fit_cluster(estimator, patterns, PATTERN)
 
 
 def _one_gaussian_log_likelihood(points: DataFrame, columns: Sequence[str]) -> tuple[float, int]:
@@ -179,8 +181,8 @@ def mixture_scores(
         if k == 1:
             log_likelihood = first
         else:
-            mixture = GaussianMixture(k=k, seed=seed, maxIter=max_iter, featuresCol=_VECTOR)
-            log_likelihood = mixture.fit(vectors).summary.logLikelihood
+            estimator = mixture(k, n, seed, max_iter).setFeaturesCol(_VECTOR)
+            log_likelihood = estimator.fit(vectors).summary.logLikelihood
         free = (k - 1) + k * d + k * d * (d + 1) // 2
         scores.append(
             (k, 2.0 * free - 2 * log_likelihood, free * math.log(n) - 2 * log_likelihood)

@@ -35,12 +35,14 @@ def complete_ticks(
     fill: float = 0.0,
     tick_minutes: int = TICK_MINUTES,
     days: DataFrame | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add a row with demand ``fill`` for every tick a place lacks.
 
     Every place gets every day found in the data; days nobody has are not made up. Rows off the
     grid or repeated are kept as they are. ``days`` may name a cheaper frame to take the days from,
-    when ``df`` is itself costly to compute.
+    when ``df`` is itself costly to compute. Rows multiply after the shuffle, so a sparse table may
+    want more ``partitions`` than its own size suggests.
     """
     calendar = _calendar(df if days is None else days)
     day_number = F.get(calendar["numbers"], F.col("day") - calendar["first"])
@@ -49,6 +51,8 @@ def complete_ticks(
         "demand",
         (day_number * MINUTES_PER_DAY + F.col("hour") * 60 + F.col("minute")).alias("position"),
     )
+    if partitions:
+        rows = rows.repartition(partitions, "geohash6")
     n_ticks = F.size(calendar["days"]).cast("bigint") * (MINUTES_PER_DAY // tick_minutes)
     series = Window.partitionBy("geohash6").orderBy("position")
     rows = rows.withColumns(

@@ -64,9 +64,14 @@ def lag_means(df: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
 
 
 def tick_means(df: DataFrame, strategy: str = "mean") -> DataFrame:
-    """``y_true``: mean or median demand per place, day of week and tick of the day."""
+    """``y_true``: mean or median demand per place, day of week and tick of the day.
+
+    ``last_day`` is the last day of such a tick, from which the end of a place's series follows.
+    """
     pick = {"mean": F.avg, "median": F.median}[strategy]
-    return df.groupBy(*GDOWHM).agg(pick("demand").alias("y_true"))
+    return df.groupBy(*GDOWHM).agg(
+        pick("demand").alias("y_true"), F.max("day").alias("last_day")
+    )
 
 
 def feature_lookup(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = GDOWH) -> DataFrame:

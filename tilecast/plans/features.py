@@ -11,8 +11,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilecast.functions.calendar import add_calendar_geo
-from tilecast.operators.clusters import SEED, add_geo_cluster, add_pattern_cluster
+from tilecast.functions.geo import add_lat_long
+from tilecast.operators.clusters import (
+    PATTERN,
+    SEED,
+    add_geo_cluster,
+    fit_geo_centres,
+    fit_pattern_mixture,
+    label_rows,
+)
 from tilecast.operators.series import add_lag_means, add_lags, add_rolling_mean
+from tilecast.operators.statistics import gdowh_stats
 from tilecast.schema import GDOW, GDOWH, GEO, LAGS
 from tilecast.session import materialize
 
@@ -70,10 +79,14 @@ def add_demand_features(df: DataFrame) -> DataFrame:
 def build_features(df: DataFrame, use_clustering: bool = True, seed: int = SEED) -> DataFrame:
     """Calendar, place, demand and cluster features of a completed demand table.
 
-    The cluster models read the demand features several times, so those are written out once.
+    The cluster models need no more than a small aggregate of the table, which is written out for
+    their many passes. The wide feature rows are then made in one go, labels included.
     """
-    prepared = materialize(add_demand_features(add_calendar_geo(df)), "features")
-    prepared = add_geo_cluster(prepared, seed=seed)
+    base = add_calendar_geo(df)
+    patterns = add_lat_long(materialize(gdowh_stats(base), "patterns"))
+    centres = fit_geo_centres(patterns, seed=seed)
+    prepared = add_geo_cluster(add_demand_features(base), centres)
     if use_clustering:
-        prepared = add_pattern_cluster(prepared, seed=seed)
+        mixture = fit_pattern_mixture(patterns, seed=seed)
+        prepared = label_rows(mixture, prepared, PATTERN, "cluster_gdowh", "cluster_prob_gdowh")
     return prepared

@@ -34,21 +34,23 @@ class MeanForecaster:
 
     def __init__(self, strategy: str = "mean"):
         self.strategy = strategy
-        self.train: DataFrame | None = None
         self.table: DataFrame | None = None
 
     def fit(self, df: DataFrame) -> MeanForecaster:
-        self.train = add_calendar_geo(df)
-        self.table = tick_means(self.train, self.strategy)
+        """One pass over ``df``; what is kept is one row per place, day of week and tick."""
+        table = tick_means(add_calendar_geo(df), self.strategy)
+        self.table = materialize(table, "tick-means")
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:
         """``y_hat`` for rows with calendar columns; NULL where training never saw the key."""
-        table = self.table.withColumnRenamed("y_true", PREDICTION)
+        table = self.table.select(*GDOWHM, F.col("y_true").alias(PREDICTION))
         return df.join(table, GDOWHM, "left")
 
     def predict_futures(self, n_ticks: int = 5, tick_minutes: int = TICK_MINUTES) -> DataFrame:
-        return self.predict(future_rows(self.train, n_ticks, tick_minutes)).select(*FORECAST)
+        """The coming ticks after each place's last one, which the table remembers."""
+        ends = self.table.select("geohash6", F.col("last_day").alias("day"), "hour", "minute")
+        return self.predict(future_rows(ends, n_ticks, tick_minutes)).select(*FORECAST)
 
 
 class DemandForecaster:
