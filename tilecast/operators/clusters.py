@@ -86,7 +86,7 @@ def fit_geo_centres(df: DataFrame, k: int = 2, seed: int = SEED) -> list[list[fl
 
     Busy places weigh no more than quiet ones.
     """
-    kmeans = KMeans(k=k, seed=seed, maxIter=300, tol=1e-9)
+    kmeans = KMeans(k=k, seed=seed, maxIter=300, tol=1e-5)
     return sorted(_centres(fit_cluster(kmeans, place_points(df), ["lat", "long"])))
 
 
