@@ -41,8 +41,11 @@ def complete_ticks(
 
     Every place gets every day found in the data; days nobody has are not made up. Rows off the
     grid or repeated are kept as they are. ``days`` may name a cheaper frame to take the days from,
-    when ``df`` is itself costly to compute. Rows multiply after the shuffle, so a sparse table may
-    want more ``partitions`` than its own size suggests.
+    when ``df`` is itself costly to compute.
+
+    Rows multiply after the shuffle, so merging small shuffle partitions by their size beforehand
+    would leave too few tasks for everything that follows. The number of ``partitions`` is therefore
+    fixed, at the session's ``spark.sql.shuffle.partitions`` unless given.
     """
     calendar = _calendar(df if days is None else days)
     day_number = F.get(calendar["numbers"], F.col("day") - calendar["first"])
@@ -51,8 +54,9 @@ def complete_ticks(
         "demand",
         (day_number * MINUTES_PER_DAY + F.col("hour") * 60 + F.col("minute")).alias("position"),
     )
-    if partitions:
-        rows = rows.repartition(partitions, "geohash6")
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(partitions, "geohash6")
     n_ticks = F.size(calendar["days"]).cast("bigint") * (MINUTES_PER_DAY // tick_minutes)
     series = Window.partitionBy("geohash6").orderBy("position")
     rows = rows.withColumns(
