@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tilecast.functions.calendar import add_calendar_geo
 from tilecast.operators.completion import complete_ticks
-from tilecast.operators.evaluation import global_metrics
+from tilecast.operators.evaluation import add_difference_errors, global_metrics
 from tilecast.operators.scaling import fit_robust_scaler, fit_standard_scaler
 from tilecast.operators.selection import holdout_days, train_window
 from tilecast.plans import estimators as est
@@ -144,6 +144,9 @@ def test_two_levels_add_up(full):
     assert {"lv1_yhat", "lv2_yhat", "y_hat"} <= set(future.columns)
     off = F.abs(F.col("y_hat") - F.col("lv1_yhat") - F.col("lv2_yhat"))
     assert future.agg(F.max(off)).first()[0] < 1e-9
+    judged = add_difference_errors(future.withColumn("demand", F.lit(1.0)))
+    off = F.abs(F.col("err2") - (1 - F.col("lv1_yhat") + F.col("lv2_yhat")))
+    assert judged.agg(F.max(off)).first()[0] < 1e-9
     scored = model.score_training()
     residual = F.abs(F.col("demand") - (F.col("y_true") - F.col("y_hat")))
     assert scored.count() == 2 * 8 * 96
@@ -172,4 +175,6 @@ def test_evaluation_report(full):
     assert report["pred_vs_act"].count() == 2 * 96
     assert report["per_place"].count() == 2
     assert report["mean"].first().rmse > 0
+    assert report["rmse_histogram"].agg(F.sum("n")).first()[0] == 2
+    assert report["mape_histogram"].agg(F.sum("n")).first()[0] == 2
     assert report["series"].count() == 96

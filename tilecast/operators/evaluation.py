@@ -26,6 +26,12 @@ def add_errors(df: DataFrame, y: str = "demand", y_hat: str = "y_hat") -> DataFr
     return df.withColumns({"err": err, "abs_err": F.abs(err)})
 
 
+def add_difference_errors(df: DataFrame) -> DataFrame:
+    """``err2`` and ``abs_err2``: seen minus the difference of two levels of a forecast."""
+    err = F.col("demand") - (F.col("lv1_yhat") - F.col("lv2_yhat"))
+    return df.withColumns({"err2": err, "abs_err2": F.abs(err)})
+
+
 def place_errors(
     df: DataFrame, keys: Sequence[str] = GEO, y: str = "demand", y_hat: str = "y_hat"
 ) -> DataFrame:

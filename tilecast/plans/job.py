@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tilecast.operators.completion import complete_ticks
 from tilecast.operators.evaluation import join_actuals, mean_place_error, place_errors
-from tilecast.operators.exploration import place_series
+from tilecast.operators.exploration import histogram, place_series
 from tilecast.operators.selection import train_window
 from tilecast.plans.forecasters import DemandForecaster
+from tilecast.session import materialize
 from tilecast.sources.demand import read_demand, write_predictions
 
 
@@ -36,13 +37,18 @@ def forecast_job(
 def evaluate(
     predictions: DataFrame, held_out: DataFrame, places: Sequence[str] = ()
 ) -> dict[str, DataFrame]:
-    """Forecasts against held-out demand: the joined rows, errors per place, their mean, and the
-    series of chosen places."""
-    joined = join_actuals(predictions, held_out)
+    """Forecasts against held-out demand: the joined rows, errors per place, their distribution and
+    mean, and the series of chosen places.
+
+    The join is written out once; every table of the report starts from it.
+    """
+    joined = materialize(join_actuals(predictions, held_out), "judged")
     per_place = place_errors(joined)
     report = {
         "pred_vs_act": joined,
         "per_place": per_place,
+        "rmse_histogram": histogram(per_place, "rmse"),
+        "mape_histogram": histogram(per_place, "MAPE"),
         "mean": mean_place_error(per_place),
     }
     if places:
