@@ -21,6 +21,11 @@ from tilecast.schema import CATEGORICAL, KEYS, NUMERICAL
 from tilecast.session import materialize
 
 FEW = 4
+# Enough to forecast with, and no mixture to fit.
+PLAIN = {
+    "categorical": ["is_weekend", "dow", "hour"],
+    "numerical": ["lat", "long", "minute", "mean_demand_per_geo", "demand_rolling_4"],
+}
 
 
 @pytest.fixture(scope="module")
@@ -133,12 +138,9 @@ def test_scaled_target_comes_back_in_its_own_unit(prepared, scaler):
 
 def test_two_levels_add_up(full):
     few = partial(est.boosted_trees, n_trees=2)
-    second = DemandForecaster(
-        partial(est.boosted_trees_one_hot, n_trees=2),
-        categorical=["is_weekend", "dow", "hour"],
-        numerical=["lat", "long", "minute", "mean_demand_per_geo", "demand_rolling_4"],
-    )
-    model = TwoLevelForecaster(DemandForecaster(few), second).fit(train_window(full, 7))
+    second = DemandForecaster(partial(est.boosted_trees_one_hot, n_trees=2), **PLAIN)
+    first = DemandForecaster(few, **PLAIN)
+    model = TwoLevelForecaster(first, second).fit(train_window(full, 7))
     future = model.predict_futures(4)
     assert future.count() == 8
     assert {"lv1_yhat", "lv2_yhat", "y_hat"} <= set(future.columns)
@@ -161,7 +163,7 @@ def test_two_levels_add_up(full):
 def test_job_reads_fits_writes(spark, demand, tmp_path):
     path, out = str(tmp_path / "in.csv"), str(tmp_path / "out")
     demand.toPandas().to_csv(path, index=False)
-    trees = DemandForecaster(partial(est.boosted_trees, n_trees=2))
+    trees = DemandForecaster(partial(est.boosted_trees, n_trees=2), **PLAIN)
     forecast = forecast_job(spark, path, ticks=3, n_days=9, out=out, forecaster=trees)
     assert forecast.columns == FORECAST
     back = spark.read.option("header", True).csv(out)

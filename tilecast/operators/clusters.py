@@ -19,6 +19,7 @@ from tilecast.operators.statistics import place_points
 PATTERN = ["lat", "long", "dow", "hour", "median_demand_per_gdowh", "mean_demand_per_gdowh"]
 SEED = 1
 GAIN_PER_POINT = 1e-3
+ROWS_PER_TASK = 20_000
 _VECTOR = "_vector"
 
 
@@ -43,10 +44,22 @@ def _centres(model: Model) -> list[list[float]]:
     return [list(map(float, g.mean.toArray())) for g in model.gaussians]
 
 
-def fit_cluster(estimator, points: DataFrame, columns: Sequence[str]) -> Model:
-    """Fit a clustering estimator on the chosen columns of ``points``."""
+def _vectors(points: DataFrame, columns: Sequence[str], n_points: int | None) -> DataFrame:
+    """The vectors to fit on, in no more tasks than their number calls for.
+
+    A fit makes many short passes, and on a small table the tasks would cost more than their work.
+    """
     vectors = with_vector(points, columns).select(_VECTOR)
-    return estimator.setFeaturesCol(_VECTOR).fit(vectors)
+    if n_points is None:
+        return vectors
+    return vectors.coalesce(max(1, math.ceil(n_points / ROWS_PER_TASK)))
+
+
+def fit_cluster(
+    estimator, points: DataFrame, columns: Sequence[str], n_points: int | None = None
+) -> Model:
+    """Fit a clustering estimator on the chosen columns of ``points``."""
+    return estimator.setFeaturesCol(_VECTOR).fit(_vectors(points, columns, n_points))
 
 
 def label_rows(
@@ -134,8 +147,8 @@ def fit_pattern_mixture(
     patterns: DataFrame, k: int = 8, seed: int = SEED, max_iter: int = 100
 ) -> Model:
     """Mixture over demand patterns: one row per place, day of week and hour."""
-    estimator = mixture(k, patterns.count(), seed, max_iter)
-    return fit_cluster(estimator, patterns, PATTERN)
+    n_points = patterns.count()
+    return fit_cluster(mixture(k, n_points, seed, max_iter), patterns, PATTERN, n_points)
 
 
 def _one_gaussian_log_likelihood(points: DataFrame, columns: Sequence[str]) -> tuple[float, int]:
@@ -174,8 +187,8 @@ def mixture_scores(
     ``points`` is read once per k and iteration; hand in a cached or written table.
     """
     d = len(columns)
-    vectors = with_vector(points, columns).select(_VECTOR)
     first, n = _one_gaussian_log_likelihood(points.dropna(subset=list(columns)), columns)
+    vectors = _vectors(points, columns, n)
     scores = []
     for k in range(1, max_component):
         if k == 1:
