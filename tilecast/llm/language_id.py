@@ -150,8 +150,8 @@ def fit_languages(train: DataFrame, per_language: int = 600, families: dict | No
     return LanguageModel(Level.fit(x, of, names), inside)
 
 
-def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """Every row of ``docs`` as the struct ``row``, with ``lang_pred`` and ``score``.
+def predict_languages(docs: DataFrame, model: LanguageModel, keep: list[str] | None = None) -> DataFrame:
+    """Every row of ``docs`` (all columns or those of ``keep``) as the struct ``row``, with ``lang_pred`` and ``score``.
 
     A text that is null or has no letter gets ``und`` and 0. The model is a few vectors of fixed
     width per pair of languages; nothing is shuffled.
@@ -168,7 +168,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
         return {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score, pa.float64())}
 
     lettered = {"lettered": F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))}
-    return with_columns_after(docs, work, "lang_pred string, score double", lettered)
+    return with_columns_after(docs, work, "lang_pred string, score double", lettered, keep)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -178,7 +178,7 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 def identify(docs: DataFrame, per_language: int = 600) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row of ``docs``."""
-    found = predict_languages(docs, fit_languages(training_rows(docs), per_language))
+    found = predict_languages(docs, fit_languages(training_rows(docs), per_language), ["doc_id"])
     held = (fold("doc_id", 4) == 2).alias("held_out")
     return found.select("row.doc_id", "lang_pred", "score").select("doc_id", held, "lang_pred", "score")
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tilecast.llm import chat_format, fingerprints, language_id, toxicity
+from tilecast.llm import byte_bpe, chat_format, fingerprints, host_rules, language_id, packing, token_files, toxicity
 from tilecast.llm.text import ship
 
 
+#: Where every machine has the tokenizers' files.
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,11 +36,31 @@ def op4_fingerprints(spark, sf_dir):
     return fingerprints.imatch(_table(spark, sf_dir, "documents"))
 
 
+def op5_host_rules(spark, sf_dir):
+    return host_rules.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def op6_token_files(spark, sf_dir):
+    return token_files.token_digest(_table(spark, sf_dir, "documents"), WORDS)
+
+
+def op7_byte_bpe(spark, sf_dir):
+    return byte_bpe.bpe_digest(_table(spark, sf_dir, "documents"), BYTES)
+
+
+def op10_packing(spark, sf_dir):
+    return packing.packing_digest(_table(spark, sf_dir, "documents"), WORDS)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op3_chat_format": op3_chat_format,
     "op4_fingerprints": op4_fingerprints,
+    "op5_host_rules": op5_host_rules,
+    "op6_token_files": op6_token_files,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op10_packing": op10_packing,
 }
 
 CHAT_SQL = r"""
@@ -55,4 +81,42 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
-ORACLE = {"op3_chat_format": CHAT_SQL}
+RULES_SQL = r"""
+WITH texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+  FROM texts, unnest(range(1, len(words) - 1)) AS t(i)
+), twice AS (
+  SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, g) > 1
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r
+), measured AS (
+  SELECT r, doc_id, source, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    len(lines) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM texts LEFT JOIN covered USING (r)
+), failed AS (
+  SELECT *, n_words < 50 AS f1, 100 * n_repeat_words > 50 * n_words AS f2, 10 * n_symbols > 3 * word_chars AS f3,
+    10 * n_dup_lines > 5 * n_lines AS f4
+  FROM measured
+), hosts AS (
+  SELECT source, rule, count(*) AS n, count(*) FILTER (f) AS k
+  FROM (SELECT source, unnest([1, 2, 3, 4]) AS rule, unnest([f1, f2, f3, f4]) AS f FROM failed) GROUP BY ALL
+), priors AS (
+  SELECT rule, avg(k / n) AS m, CASE WHEN var_pop(k / n) > 0 THEN least(greatest(avg(k / n) * (1 - avg(k / n)) / var_pop(k / n) - 1, 2), 1000) ELSE 1000 END AS w
+  FROM hosts GROUP BY rule
+), verdicts AS (
+  SELECT source, max((k + w * m) / (n + w)) <= 0.5 AS host_kept FROM hosts JOIN priors USING (rule) GROUP BY source
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
+  NOT (f1 OR f2) AND host_kept AS kept
+FROM failed JOIN verdicts ON failed.source IS NOT DISTINCT FROM verdicts.source
+"""
+
+ORACLE = {"op3_chat_format": CHAT_SQL, "op5_host_rules": RULES_SQL}

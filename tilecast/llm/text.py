@@ -30,28 +30,32 @@ def whole_text(name: str = "text") -> Column:
 
 
 def with_columns_after(
-    docs: DataFrame, work: Callable[[pa.Array, pa.StructArray], dict], schema: str, extra: dict[str, Column] | None = None
+    docs: DataFrame,
+    work: Callable[[pa.Array, pa.StructArray], dict],
+    schema: str,
+    extra: dict[str, Column] | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Rows of ``docs`` as a struct column ``row``, next to what ``work(texts, given)`` computes.
+    """Rows of ``docs`` (all columns, or those of ``keep``) as a struct ``row``, next to what ``work`` computes.
 
-    ``work`` sees the texts of one Arrow batch (nulls as empty) and the columns of ``extra``. The row
-    itself travels as one struct, so that no column of ``docs`` can clash with a computed one.
+    ``work(texts, given)`` sees the texts of a run of rows (nulls as empty) and the columns of
+    ``extra``. The row travels as one struct, so no column of ``docs`` can clash with a computed one.
     """
-    given = [c.alias(k) for k, c in (extra or {}).items()]
-    rows = docs.select(F.struct("*").alias("row"), whole_text().alias("text"), F.struct(F.lit(0).alias("_"), *given).alias("given"))
-    out = rows.select("row").limit(0)
+    row = F.struct(*(keep or docs.columns)).alias("row")
+    has_text = "text" in (keep or docs.columns)
+    given = F.struct(F.lit(0).alias("_"), *(c.alias(k) for k, c in (extra or {}).items())).alias("given")
+    rows = docs.select(row, given, *([] if has_text else [whole_text().alias("text")]))
     names = [f.name for f in T._parse_datatype_string(schema)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, given = batch.column("text"), batch.column("given")
+            row, given = batch.column("row"), batch.column("given")
+            text = pc.fill_null(row.field("text") if has_text else batch.column("text"), "")
             for lo, hi in runs(text):
                 part = work(text.slice(lo, hi - lo), given.slice(lo, hi - lo))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(lo, hi - lo), *(part[n] for n in names)], ["row", *names]
-                )
+                yield pa.RecordBatch.from_arrays([row.slice(lo, hi - lo), *(part[n] for n in names)], ["row", *names])
 
-    return rows.mapInArrow(run, f"row {out.schema['row'].dataType.simpleString()}, {schema}")
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, {schema}")
 
 
 def runs(texts: pa.Array, most: int = RUN_BYTES) -> Iterator[tuple[int, int]]:

@@ -171,8 +171,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_label: int = 6000, most
     return ToxicityModel({f: float(v) for f, v in zip(names, w, strict=True) if v}, float(b))
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
-    """Every row of ``docs`` as ``row``, with ``score`` and the offending sentences.
+def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:
+    """Every row of ``docs`` (all columns or those of ``keep``) as ``row``, with ``score`` and the offending sentences.
 
     ``offending`` holds start, end (code points) and probability of each sentence at or over
     ``threshold``. Null and empty texts score 0. The model is at most a few thousand weights.
@@ -189,13 +189,13 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
         return {"score": pa.array(scores, pa.float64()), "offending": pa.array(found, kind)}
 
-    return with_columns_after(docs, work, "score double,offending array<struct<start:bigint,end:bigint,score:double>>")
+    return with_columns_after(docs, work, "score double,offending array<struct<start:bigint,end:bigint,score:double>>", keep=keep)
 
 
 def detect(docs: DataFrame, labels: DataFrame, per_label: int = 6000) -> DataFrame:
     """doc_id, held_out, score, predicted, n_offending of every row of ``docs``."""
     model = fit_toxicity(docs, labels.filter(fold("doc_id", 5) != 0), per_label)
-    found = score_toxicity(docs, model).select("row.doc_id", "score", F.size("offending").cast("bigint").alias("n_offending"))
+    found = score_toxicity(docs, model, keep=["doc_id"]).select("row.doc_id", "score", F.size("offending").cast("bigint").alias("n_offending"))
     return found.select(
         "doc_id",
         (fold("doc_id", 5) == 0).alias("held_out"),
