@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tilecast.llm import byte_bpe, chat_format, fingerprints, host_rules, language_id, packing, token_files, toxicity
+from tilecast.llm import byte_bpe, chat_format, fingerprints, host_rules, language_id, near_dups, packing, token_files, toxicity
 from tilecast.llm.text import ship
 
 
@@ -48,6 +48,10 @@ def op7_byte_bpe(spark, sf_dir):
     return byte_bpe.bpe_digest(_table(spark, sf_dir, "documents"), BYTES)
 
 
+def op8_near_dups(spark, sf_dir):
+    return near_dups.duplicate_digest(_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark, sf_dir):
     return packing.packing_digest(_table(spark, sf_dir, "documents"), WORDS)
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op5_host_rules": op5_host_rules,
     "op6_token_files": op6_token_files,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_near_dups": op8_near_dups,
     "op10_packing": op10_packing,
 }
 
