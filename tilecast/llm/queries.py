@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tilecast.llm import byte_bpe, chat_format, fingerprints, host_rules, language_id, near_dups, packing, token_files, toxicity
+from tilecast.llm import byte_bpe, chat_format, fingerprints, host_rules, language_id, language_model, near_dups, packing, token_files, toxicity
 from tilecast.llm.text import ship
 
 
@@ -52,6 +52,10 @@ def op8_near_dups(spark, sf_dir):
     return near_dups.duplicate_digest(_table(spark, sf_dir, "documents"))
 
 
+def op9_language_model(spark, sf_dir):
+    return language_model.score_digest(_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark, sf_dir):
     return packing.packing_digest(_table(spark, sf_dir, "documents"), WORDS)
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_near_dups": op8_near_dups,
+    "op9_language_model": op9_language_model,
     "op10_packing": op10_packing,
 }
 
