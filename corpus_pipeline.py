@@ -1,26 +1,52 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read by the next one.
 
-Stages keep the columns of ``documents`` until the last, which returns one row per packed piece.
+The first three keep whole rows of ``documents``; the last returns one row per packed piece.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tilecast.llm import language_id
+from tilecast.llm import host_rules, language_id, near_dups, packing
 from tilecast.llm.text import ship
 from tilecast.session import materialize
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the classifier knows."""
+    """Documents in a language that the classifier is sure enough of."""
     ship(spark)
     return language_id.keep_identified(docs)
 
 
-STAGES = [("language", language)]
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the rules, on hosts that pass them."""
+    ship(spark)
+    return host_rules.keep_quality(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near-duplicates: five-word shingles, similarity 0.8."""
+    ship(spark)
+    return near_dups.keep_first(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents in sequences of 4096 tokens."""
+    ship(spark)
+    return packing.packing_digest(docs, TOKENIZER)
+
+
+STAGES = [
+    ("language", language),
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("packing", pack),
+]
 
-#: The stages rest on trained models and tokenizers, which SQL can't express.
+#: Trained models and tokenizers decide the rows, which SQL can't express.
 ORACLE_SQL = None
 
 
