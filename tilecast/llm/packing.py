@@ -202,8 +202,8 @@ def cut_pieces(docs: DataFrame, file: str, sequence: int = SEQUENCE, end: int =
         encoder = word_encoder(file)
         last = np.array([end], encoder.kind).tobytes()
         out = []
-        for text in texts.to_pylist():
-            ids = np.frombuffer(encoder.encode(text, last), encoder.kind).astype("<u4")
+        for whole in encoder.encode(texts.to_pylist(), last):
+            ids = np.frombuffer(whole, encoder.kind).astype("<u4")
             parts = [ids[k : k + sequence] for k in range(0, len(ids), sequence)]
             raw = [p.tobytes() for p in parts]
             out.append([{"piece": k, "start": k * sequence, "length": len(p), "ids_crc32": zlib.crc32(r), "ids": r if with_ids else None}

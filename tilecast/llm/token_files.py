@@ -63,7 +63,7 @@ def encode_documents(docs: DataFrame, file: str, end: int = 1) -> DataFrame:
     def work(texts, given):
         encoder = word_encoder(file)
         last = np.array([end], encoder.kind).tobytes()
-        ids = [encoder.encode(t, last) for t in texts.to_pylist()]
+        ids = encoder.encode(texts.to_pylist(), last)
         return {"ids": pa.array(ids, pa.binary()), "width": pa.array([encoder.kind.itemsize] * len(ids), pa.int32())}
 
     return with_columns_after(docs, work, "ids binary, width int", keep=["doc_id"]).select("row.doc_id", "ids", "width")

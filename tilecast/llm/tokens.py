@@ -2,40 +2,76 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 from tokenizers import Tokenizer
 
-CACHED_WORDS, LONG_WORD = 400_000, 200
+#: Words kept between runs of texts, and cores of words; then only those of the last run stay.
+CACHED_WORDS = 800_000
+LETTERS_AND_DIGITS = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+STOPS = frozenset(b".,!?;:")
+
+
+def core_and_stop(word: bytes) -> tuple[bytes, bytes]:
+    """A word as the tokenizer sees it, more often equal to another's: an ASCII word in lower case, and
+    its last character apart where that is a stop behind a letter or digit.
+
+    The tokenizer lowers letters itself, and cuts between a letter or digit and a stop. A word that
+    may spell a special token is left as it is.
+    """
+    if b"<" in word:
+        return word, b""
+    if word.isascii():
+        word = word.lower()
+    if len(word) > 1 and word[-1] in STOPS and word[-2] in LETTERS_AND_DIGITS:
+        return word[:-1], word[-1:]
+    return word, b""
+
 
 _OPEN: dict[str, WordEncoder] = {}
 
 
-class WordEncoder(dict):
-    """Maps a word (UTF-8 bytes without white space) to the bytes of its little-endian ids.
+class WordEncoder:
+    """Ids of texts as little-endian bytes of ``kind``.
 
     Only for tokenizers that drop white space and mark word ends, where the ids of a text are the ids
-    of its words one after another. The cache is emptied when it holds CACHED_WORDS words.
+    of its words one after another.
     """
 
     def __init__(self, file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(file)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        self.known: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {b"": b""}
 
-    def encode_word(self, word: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.kind).tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.encode_word(word)
-        if len(word) <= LONG_WORD:
-            self[word] = ids
-        return ids
+    def learn(self, words: set[bytes]) -> None:
+        """Put the ids of ``words`` into ``known``; each new core is encoded once, all of them in one call."""
+        if len(self.known) > CACHED_WORDS:
+            self.known = {w: self.known[w] for w in words.intersection(self.known)}
+        parts = {w: core_and_stop(w) for w in words.difference(self.known)}
+        needed = {p for pair in parts.values() for p in pair}
+        if len(self.cores) > CACHED_WORDS:
+            self.cores = {b"": b"", **{c: self.cores[c] for c in needed.intersection(self.cores)}}
+        new = list(needed.difference(self.cores))
+        ids = [f.ids for f in self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
+        flat, at = np.fromiter((i for x in ids for i in x), self.kind).tobytes(), 0
+        for core, x in zip(new, ids, strict=True):
+            to = at + len(x) * self.kind.itemsize
+            self.cores[core] = flat[at:to]
+            at = to
+        cores = self.cores
+        for word, (core, stop) in parts.items():
+            self.known[word] = cores[core] + cores[stop]
 
-    def encode(self, text: str, end: bytes = b"") -> bytes:
-        """The ids of a whole text, then ``end``, as bytes of ``kind``."""
-        if len(self) > CACHED_WORDS:
-            self.clear()
+    def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
+        """The ids of each whole text, then ``end``."""
         # bytes.split cuts at ASCII white space: the tokenizer drops it, and no normalisation crosses it
-        return b"".join(map(self.__getitem__, text.encode().split())) + end
+        split = [t.encode().split() for t in texts]
+        self.learn(set().union(*split))
+        get = self.known.__getitem__
+        return [b"".join(map(get, s)) + end for s in split]
 
 
 def word_encoder(file: str) -> WordEncoder:
@@ -43,7 +79,3 @@ def word_encoder(file: str) -> WordEncoder:
     if file not in _OPEN:
         _OPEN[file] = WordEncoder(file)
     return _OPEN[file]
-
-
-def as_u4(ids: bytes, kind: np.dtype) -> bytes:
-    return np.frombuffer(ids, kind).astype("<u4").tobytes()
