@@ -11,8 +11,9 @@ from tilecast.functions.geo import ALPHABET
 # Steps every query may build on; each starts from the ones it names.
 _EVENTS = """
 ev AS (
-  SELECT 15385 + (user_id // 10 // 2) % 16 + 20 * (user_id // 10 % 2) AS la,
-         24635 + user_id // 10 // 32 + 60 * (user_id // 10 % 2) AS lo,
+  SELECT 25 + 40 * ((384 + user_id // 10485760) % 818) + (user_id // 10 // 2) % 16
+           + 20 * (user_id // 10 % 2) AS la,
+         (24635 + user_id // 10 // 32 % 32768 + 60 * (user_id // 10 % 2)) % 32768 AS lo,
          date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS day,
          hour(ts) AS hour, 15 * (minute(ts) // 15) AS minute, value
   FROM events)"""
@@ -277,6 +278,11 @@ def _with_centres(columns: str, body: str, *steps: str) -> str:
     return sql.replace("\nout AS (", f"{_CENTRES}{_PLACES},\nout AS (", 1)
 
 
+_SHARE = """CAST('0x' || substr(md5(concat_ws('|', geohash6, day, hour, minute, '1')), 1, 8)
+  AS BIGINT) / 4294967296.0"""
+_STUMP = "SELECT is_weekend, avg(demand) AS lv1_yhat FROM train GROUP BY is_weekend"
+
+
 def oracle() -> dict[str, str]:
     from_dem = "SELECT * FROM dem"
     return {
@@ -291,6 +297,66 @@ def oracle() -> dict[str, str]:
             "dem",
         ),
         "holdout": _sql(f"{_RAW} hour:i minute:i", f"{from_dem} WHERE day > 15", "dem"),
+        "hash_sample": _sql(
+            f"{_CALENDAR} timestamp:s demand:f", f"{from_dem} WHERE {_SHARE} < 0.2", "dem"
+        ),
+        "train_test_split": _sql(
+            f"{_CALENDAR} timestamp:s demand:f part:s",
+            f"SELECT *, CASE WHEN {_SHARE} < 0.3 THEN 'test' ELSE 'train' END AS part FROM dem",
+            "dem",
+        ),
+        "at_place": _sql(_RAW, f"{from_dem} WHERE geohash6 = 'qp03wc'", "dem"),
+        "on_days": _sql(_RAW, f"{from_dem} WHERE day IN (2, 3, 29, 77)", "dem"),
+        "distinct_hours": _sql("hour:i", "SELECT DISTINCT hour FROM dem", "dem"),
+        "source_csv": _sql(_RAW, from_dem, "dem"),
+        "source_gzip": _sql(_RAW, from_dem, "dem"),
+        "source_parquet": _sql(_RAW, from_dem, "dem"),
+        "mean_job": _sql(f"{_CALENDAR} y_hat:f", "SELECT * FROM fc", "fc", n=5),
+        "gmm_score_one": _sql(
+            "k:i aic:f3 bic:f3",
+            """SELECT 1 AS k, 4 - 2 * ll AS aic, 2 * ln(n) - 2 * ll AS bic FROM (
+                 SELECT count(*) AS n, -count(*) / 2 * (ln(2 * pi() * var_pop(m)) + 1) AS ll FROM (
+                   SELECT median(demand) AS m FROM comp GROUP BY geohash6, dow, hour))""",
+            "comp",
+        ),
+        "forecast_stump": _sql(
+            f"{_CALENDAR} y_hat:f",
+            """SELECT fut.*, y_hat FROM fut JOIN (
+                 SELECT is_weekend, avg(demand) AS y_hat FROM train GROUP BY is_weekend)
+               USING (is_weekend)""",
+            "train",
+            "fut",
+            n=5,
+        ),
+        "forecast_linear": _sql(
+            f"{_CALENDAR} y_hat:f",
+            """SELECT fut.*, slope * m + level AS y_hat
+               FROM fut JOIN (SELECT geohash6, dow, hour, avg(demand) AS m FROM train
+                              GROUP BY geohash6, dow, hour) USING (geohash6, dow, hour), (
+                 SELECT regr_slope(demand, m) AS slope, regr_intercept(demand, m) AS level
+                 FROM (SELECT demand, avg(demand) OVER (PARTITION BY geohash6, dow, hour) AS m
+                       FROM train))""",
+            "train",
+            "fut",
+            n=5,
+        ),
+        "two_level_stump": _sql(
+            f"{_CALENDAR} lv1_yhat:f lv2_yhat:f y_hat:f",
+            f"""SELECT fut.*, lv1_yhat, lv2_yhat, lv1_yhat + lv2_yhat AS y_hat
+                FROM fut JOIN ({_STUMP}) USING (is_weekend) JOIN (
+                  SELECT is_working_hour, avg(demand - lv1_yhat) AS lv2_yhat
+                  FROM train JOIN ({_STUMP}) USING (is_weekend) GROUP BY is_working_hour)
+                USING (is_working_hour)""",
+            "train",
+            "fut",
+            n=5,
+        ),
+        "stump_scores": _sql(
+            f"{_KEY} demand:f y_hat:f",
+            f"SELECT train.*, lv1_yhat AS y_hat FROM train JOIN ({_STUMP}) USING (is_weekend)",
+            "train",
+        ),
+        "stump_importance": """SELECT 'is_weekend' AS feature, CAST(1 AS DOUBLE) AS importances""",
         "geo_stats": _sql(
             "geohash6:s mean_demand_per_geo:f median_demand_per_geo:f",
             """SELECT geohash6, avg(demand) AS mean_demand_per_geo,

@@ -5,6 +5,7 @@ All of them read the whole demand table derived from ``events``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,13 +26,16 @@ from tilecast.operators.futures import future_rows
 from tilecast.plans import estimators
 from tilecast.plans.features import add_demand_features, add_demand_statistics, build_features
 from tilecast.plans.forecasters import DemandForecaster, MeanForecaster, TwoLevelForecaster
+from tilecast.plans.job import forecast_job
 from tilecast.schema import KEYS, NUMERICAL
-from tilecast.session import materialize
+from tilecast.session import materialize, scratch_dir
+from tilecast.sources.demand import read_demand, read_table, write_table
 from tilecast.sources.events import demand_from_events, event_days
 
 TRAIN_DAYS = 14
 DAY_AHEAD = 96
 EAST_OF = 90.73
+PLACE = "qp03wc"
 WITHOUT_MIXTURE = {
     "categorical": ["is_weekend", "dow", "hour"],
     "numerical": [c for c in NUMERICAL if c not in ("cluster_prob_gdowh", "dist_to_center_km")],
@@ -69,12 +73,20 @@ def _full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_calendar_geo(_completed(spark, sf_dir))
 
 
+def _completed_days(spark: SparkSession, sf_dir: str, first: int, last: int) -> DataFrame:
+    """The grid of a few days, of every place in the whole table."""
+    demand, days = demand_from_events(spark, sf_dir), event_days(spark, sf_dir)
+    return complete_ticks(demand, days=days, within=(first, last))
+
+
 def _train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selection.train_window(_completed(spark, sf_dir), TRAIN_DAYS)
+    return selection.train_window(_completed_days(spark, sf_dir, 1, 1 + TRAIN_DAYS), TRAIN_DAYS)
 
 
 def _held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selection.holdout_days(_completed(spark, sf_dir), TRAIN_DAYS)
+    """The day that a day-ahead forecast is about."""
+    day = 2 + TRAIN_DAYS
+    return selection.holdout_days(_completed_days(spark, sf_dir, day, day), TRAIN_DAYS)
 
 
 def _add_dow(df: DataFrame) -> DataFrame:
@@ -110,13 +122,15 @@ def holdout(spark, sf_dir):
 
 
 def hash_sample(spark, sf_dir):
-    return selection.frac_sample(_demand(spark, sf_dir), 0.2)
+    return comparable(selection.frac_sample(_demand(spark, sf_dir), 0.2))
 
 
 def train_test_split(spark, sf_dir):
     train, test = selection.train_test_split(_demand(spark, sf_dir), 0.3)
-    return train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
+    return comparable(
+        train.withColumn("part", F.lit("train")).unionByName(
+            test.withColumn("part", F.lit("test"))
+        )
     )
 
 
@@ -355,7 +369,9 @@ def geo_clusters(spark, sf_dir):
 
 
 def full_features(spark, sf_dir):
-    return comparable(build_features(_completed(spark, sf_dir), use_clustering=False))
+    places = demand_from_events(spark, sf_dir)
+    full = build_features(_completed(spark, sf_dir), use_clustering=False, places=places)
+    return comparable(full)
 
 
 def scaled_target(spark, sf_dir):
@@ -405,6 +421,88 @@ def gmm_scores(spark, sf_dir):
     return clusters.mixture_scores(_pattern_table(spark, sf_dir), clusters.PATTERN, 10)
 
 
+def gmm_score_one(spark, sf_dir):
+    """One Gaussian over one column, whose likelihood has a closed form."""
+    scores = clusters.mixture_scores(_pattern_table(spark, sf_dir), ["median_demand_per_gdowh"], 2)
+    return comparable(scores, {"aic": 3, "bic": 3})
+
+
+def at_place(spark, sf_dir):
+    return comparable(selection.at_place(demand_from_events(spark, sf_dir), PLACE))
+
+
+def on_days(spark, sf_dir):
+    return comparable(selection.on_days(demand_from_events(spark, sf_dir), [2, 3, 29, 77]))
+
+
+def distinct_hours(spark, sf_dir):
+    return comparable(selection.distinct_sorted(_demand(spark, sf_dir), "hour"))
+
+
+def _written(spark: SparkSession, sf_dir: str, name: str, **options) -> str:
+    """The demand table in the run's scratch folder, in another format."""
+    path = f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    writer = demand_from_events(spark, sf_dir).write
+    writer.options(**options).format("parquet" if name == "parquet" else "csv").save(path)
+    return path
+
+
+def source_csv(spark, sf_dir):
+    path = _written(spark, sf_dir, "csv", header=True)
+    return comparable(read_demand(spark, path, format="csv"))
+
+
+def source_gzip(spark, sf_dir):
+    path = _written(spark, sf_dir, "gzip", header=True, compression="gzip")
+    return comparable(read_demand(spark, path, format="csv"))
+
+
+def source_parquet(spark, sf_dir):
+    path = _written(spark, sf_dir, "parquet")
+    return comparable(read_demand(spark, path, format="parquet"))
+
+
+def mean_job(spark, sf_dir):
+    """The whole batch job from a file to written forecasts, read back."""
+    path, out = _written(spark, sf_dir, "parquet"), f"{scratch_dir(spark).rstrip('/')}/job-{uuid.uuid4().hex}"
+    forecast_job(spark, path, 5, 1, TRAIN_DAYS, out, MeanForecaster(), "parquet", "parquet")
+    return comparable(spark.read.parquet(out))
+
+
+def _simple(stages: Callable, *numerical: str) -> DemandForecaster:
+    return DemandForecaster(stages, categorical=[], numerical=list(numerical))
+
+
+def forecast_stump(spark, sf_dir):
+    model = _simple(estimators.stump, "is_weekend").fit(_train(spark, sf_dir))
+    return comparable(model.predict_futures(5))
+
+
+def forecast_linear(spark, sf_dir):
+    model = _simple(estimators.least_squares, "mean_demand_per_gdowh").fit(_train(spark, sf_dir))
+    return comparable(model.predict_futures(5))
+
+
+def two_level_stump(spark, sf_dir):
+    first, second = (_simple(estimators.stump, c) for c in ("is_weekend", "is_working_hour"))
+    model = TwoLevelForecaster(first, second).fit(_train(spark, sf_dir))
+    return comparable(model.predict_futures(5))
+
+
+def stump_scores(spark, sf_dir):
+    """In-sample forecasts, saved by day and read back."""
+    model = _simple(estimators.stump, "is_weekend").fit(_train(spark, sf_dir))
+    path = f"{scratch_dir(spark).rstrip('/')}/scores-{uuid.uuid4().hex}"
+    write_table(model.score_training().select(*KEYS, "demand", "y_hat"), path)
+    return comparable(read_table(spark, path))
+
+
+def stump_importance(spark, sf_dir):
+    model = _simple(estimators.stump, "is_weekend", "minute").fit(_train(spark, sf_dir))
+    importances = model.feature_importances()
+    return comparable(importances.filter("importances > 0"))
+
+
 def _fitted(spark: SparkSession, sf_dir: str, stages: Callable) -> DemandForecaster:
     return DemandForecaster(stages).fit(_train(spark, sf_dir))
 
@@ -508,6 +606,19 @@ QUERIES: dict[str, Query] = {
     "gdowh_clusters": gdowh_clusters,
     "row_clusters": row_clusters,
     "gmm_scores": gmm_scores,
+    "gmm_score_one": gmm_score_one,
+    "at_place": at_place,
+    "on_days": on_days,
+    "distinct_hours": distinct_hours,
+    "source_csv": source_csv,
+    "source_gzip": source_gzip,
+    "source_parquet": source_parquet,
+    "mean_job": mean_job,
+    "forecast_stump": forecast_stump,
+    "forecast_linear": forecast_linear,
+    "two_level_stump": two_level_stump,
+    "stump_scores": stump_scores,
+    "stump_importance": stump_importance,
     "forecast_gbt": forecast_gbt,
     "forecast_gbt_cat": forecast_gbt_cat,
     "forecast_forest": forecast_forest,

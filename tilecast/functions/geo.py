@@ -47,6 +47,7 @@ def geohash_of_cell(lat_cell: Column, long_cell: Column, precision: int = 6) ->
     """The geohash of a cell given by its row and column numbers.
 
     A number's binary digits read in base 4 are its bits with gaps between, for the other number's.
+    NULL when a number does not fit the bits of its coordinate: a code is never cut.
     """
 
     def spread(cell: Column) -> Column:
@@ -57,7 +58,10 @@ def geohash_of_cell(lat_cell: Column, long_cell: Column, precision: int = 6) ->
         low, high = high, low
     code = spread(high) * 2 + spread(low)
     digits = F.lpad(F.lower(F.conv(code.cast("string"), 10, 32)), precision, "0")
-    return F.translate(digits, BASE32_DIGITS, ALPHABET)
+    fits = lat_cell.between(0, 2 ** _bits(precision, False) - 1) & long_cell.between(
+        0, 2 ** _bits(precision, True) - 1
+    )
+    return F.when(fits, F.translate(digits, BASE32_DIGITS, ALPHABET))
 
 
 def geohash_lat(geohash: Column, precision: int = 6) -> Column:

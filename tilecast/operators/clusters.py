@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import Model
@@ -19,16 +20,19 @@ from tilecast.operators.statistics import place_points
 PATTERN = ["lat", "long", "dow", "hour", "median_demand_per_gdowh", "mean_demand_per_gdowh"]
 SEED = 1
 GAIN_PER_POINT = 1e-3
-ROWS_PER_TASK = 20_000
-_VECTOR = "_vector"
+_VECTOR, _WHOLE = "_vector", "_whole"
 
 
 def with_vector(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Assemble columns into one vector; rows with a missing value have no cluster and drop out."""
-    df = df.select("*", *[F.col(c).cast("double").alias(f"_v_{c}") for c in columns])
-    assembler = VectorAssembler(
-        inputCols=[f"_v_{c}" for c in columns], outputCol=_VECTOR, handleInvalid="skip"
+    """Add the columns as one vector, and whether none of them is missing (missing ones count as 0)."""
+    values = [F.col(c).cast("double") for c in columns]
+    present = [v.isNotNull() & ~F.isnan(v) for v in values]
+    df = df.select(
+        "*",
+        reduce(lambda a, b: a & b, present).alias(_WHOLE),
+        *[F.nanvl(F.coalesce(v, F.lit(0.0)), F.lit(0.0)).alias(f"_v_{c}") for c, v in zip(columns, values, strict=True)],
     )
+    assembler = VectorAssembler(inputCols=[f"_v_{c}" for c in columns], outputCol=_VECTOR)
     return assembler.transform(df).drop(*[f"_v_{c}" for c in columns])
 
 
@@ -44,22 +48,20 @@ def _centres(model: Model) -> list[list[float]]:
     return [list(map(float, g.mean.toArray())) for g in model.gaussians]
 
 
-def _vectors(points: DataFrame, columns: Sequence[str], n_points: int | None) -> DataFrame:
-    """The vectors to fit on, in no more tasks than their number calls for.
+def _vectors(points: DataFrame, columns: Sequence[str], partitions: int | None) -> DataFrame:
+    """The vectors of the rows that lack nothing, in ``partitions`` tasks if that is given.
 
-    A fit makes many short passes, and on a small table the tasks would cost more than their work.
+    A fit makes many short passes; on a table known to be small, few tasks are faster.
     """
-    vectors = with_vector(points, columns).select(_VECTOR)
-    if n_points is None:
-        return vectors
-    return vectors.coalesce(max(1, math.ceil(n_points / ROWS_PER_TASK)))
+    vectors = with_vector(points, columns).filter(_WHOLE).select(_VECTOR)
+    return vectors if partitions is None else vectors.coalesce(partitions)
 
 
 def fit_cluster(
-    estimator, points: DataFrame, columns: Sequence[str], n_points: int | None = None
+    estimator, points: DataFrame, columns: Sequence[str], partitions: int | None = None
 ) -> Model:
-    """Fit a clustering estimator on the chosen columns of ``points``."""
-    return estimator.setFeaturesCol(_VECTOR).fit(_vectors(points, columns, n_points))
+    """Fit a clustering estimator on the chosen columns of ``points``; rows that lack one are left out."""
+    return estimator.setFeaturesCol(_VECTOR).fit(_vectors(points, columns, partitions))
 
 
 def label_rows(
@@ -68,14 +70,15 @@ def label_rows(
     """Add each row's cluster id and, if wanted, its largest membership probability.
 
     Rows are scored where they lie. A label depends on ``columns`` alone, so this gives what joining
-    labelled groups back would, without the shuffle.
+    labelled groups back would, without the shuffle. A row that lacks one of them has a NULL label.
     """
     rank = F.array(*[F.lit(i) for i in _order_of(_centres(model))])
     scored = model.transform(with_vector(df, columns))
-    new = {id_col: F.get(rank, F.col(model.getPredictionCol()))}
-    extra = [_VECTOR, model.getPredictionCol()]
+    new = {id_col: F.when(F.col(_WHOLE), F.get(rank, F.col(model.getPredictionCol())))}
+    extra = [_VECTOR, _WHOLE, model.getPredictionCol()]
     if prob_col:
-        new[prob_col] = F.array_max(vector_to_array(model.getProbabilityCol()))
+        largest = F.array_max(vector_to_array(model.getProbabilityCol()))
+        new[prob_col] = F.when(F.col(_WHOLE), largest)
     if hasattr(model, "getProbabilityCol"):
         extra.append(model.getProbabilityCol())
     return scored.withColumns(new).drop(*extra)
@@ -121,6 +124,7 @@ def add_geo_cluster(df: DataFrame, centres: Sequence[Sequence[float]]) -> DataFr
             ]
         )
     )
+    nearest = F.when(F.col("lat").isNotNull() & F.col("long").isNotNull(), nearest)
     mid = [F.array(*[F.lit(float(c[axis])) for c in centres]) for axis in (0, 1)]
     df = df.withColumn("cluster_geo", nearest["id"])
     df = df.withColumns(
@@ -144,11 +148,15 @@ def mixture(k: int, n_points: int, seed: int = SEED, max_iter: int = 100) -> Gau
 
 
 def fit_pattern_mixture(
-    patterns: DataFrame, k: int = 8, seed: int = SEED, max_iter: int = 100
+    patterns: DataFrame,
+    k: int = 8,
+    seed: int = SEED,
+    max_iter: int = 100,
+    partitions: int | None = None,
 ) -> Model:
     """Mixture over demand patterns: one row per place, day of week and hour."""
-    n_points = patterns.count()
-    return fit_cluster(mixture(k, n_points, seed, max_iter), patterns, PATTERN, n_points)
+    estimator = mixture(k, patterns.count(), seed, max_iter)
+    return fit_cluster(estimator, patterns, PATTERN, partitions)
 
 
 def _one_gaussian_log_likelihood(points: DataFrame, columns: Sequence[str]) -> tuple[float, int]:
@@ -181,6 +189,7 @@ def mixture_scores(
     max_component: int = 10,
     seed: int = SEED,
     max_iter: int = 100,
+    partitions: int | None = None,
 ) -> DataFrame:
     """AIC and BIC of mixtures with 1 to ``max_component - 1`` components: k, aic, bic.
 
@@ -188,7 +197,7 @@ def mixture_scores(
     """
     d = len(columns)
     first, n = _one_gaussian_log_likelihood(points.dropna(subset=list(columns)), columns)
-    vectors = _vectors(points, columns, n)
+    vectors = _vectors(points, columns, partitions)
     scores = []
     for k in range(1, max_component):
         if k == 1:

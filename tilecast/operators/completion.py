@@ -15,8 +15,9 @@ from tilecast.functions.calendar import tick_label, with_clock
 from tilecast.schema import MINUTES_PER_DAY, TICK_MINUTES
 
 
-def _calendar(days: DataFrame) -> Column:
-    """One struct for the whole table: the days present and the number of each.
+def _calendar(days: DataFrame, within: tuple[int, int] | None = None) -> Column:
+    """One struct for the whole table: the days present, the number of each, and how many of them lie
+    before and up to the end of ``within``.
 
     A scalar subquery, so it stays lazy. It holds one int per day of the calendar range.
     """
@@ -26,7 +27,13 @@ def _calendar(days: DataFrame) -> Column:
     first, last = F.get("days", F.lit(0)), F.element_at("days", -1)
     numbers = F.transform(F.sequence(first, last), lambda d: F.array_position("days", d) - 1)
     return present.select(
-        F.struct(F.col("days"), first.alias("first"), numbers.alias("numbers"))
+        F.struct(
+            F.col("days"),
+            first.alias("first"),
+            numbers.alias("numbers"),
+            F.size(F.filter("days", lambda d: d < within[0]) if within else F.array()).alias("low"),
+            F.size(F.filter("days", lambda d: d <= within[1]) if within else "days").alias("high"),
+        )
     ).scalar()
 
 
@@ -36,19 +43,27 @@ def complete_ticks(
     tick_minutes: int = TICK_MINUTES,
     days: DataFrame | None = None,
     partitions: int | None = None,
+    within: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add a row with demand ``fill`` for every tick a place lacks.
 
     Every place gets every day found in the data; days nobody has are not made up. Rows off the
     grid or repeated are kept as they are. ``days`` may name a cheaper frame to take the days from,
-    when ``df`` is itself costly to compute.
+    when ``df`` is itself costly to compute; a row on another day then fails the job, since it has no
+    place in the grid.
+
+    ``within`` keeps the days from its first to its last only. Places still come from all rows, and
+    ticks outside are never made, which a filter on the result could not spare.
 
     Rows multiply after the shuffle, so merging small shuffle partitions by their size beforehand
     would leave too few tasks for everything that follows. The number of ``partitions`` is therefore
     fixed, at the session's ``spark.sql.shuffle.partitions`` unless given.
     """
-    calendar = _calendar(df if days is None else days)
-    day_number = F.get(calendar["numbers"], F.col("day") - calendar["first"])
+    calendar = _calendar(df if days is None else days, within)
+    found = F.get(calendar["numbers"], (F.col("day") - calendar["first"]).cast("int"))
+    found = F.when(found >= 0, found)
+    lost = F.raise_error(F.concat(F.lit("complete_ticks: day not among days: "), F.col("day")))
+    day_number = F.when(F.col("day").isNull() | found.isNotNull(), found).otherwise(lost.cast("int"))
     rows = with_clock(df).select(
         "geohash6",
         "demand",
@@ -57,7 +72,11 @@ def complete_ticks(
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(partitions, "geohash6")
-    n_ticks = F.size(calendar["days"]).cast("bigint") * (MINUTES_PER_DAY // tick_minutes)
+    per_day = MINUTES_PER_DAY // tick_minutes
+    n_ticks = F.size(calendar["days"]).cast("bigint") * per_day
+    # the grid ticks of the wanted days, which are neighbours in the calendar
+    low = calendar["low"].cast("bigint") * per_day
+    high = calendar["high"].cast("bigint") * per_day - 1
     series = Window.partitionBy("geohash6").orderBy("position")
     rows = rows.withColumns(
         {
@@ -72,12 +91,19 @@ def complete_ticks(
     last_tick = F.coalesce(F.ceil(F.col("after") / tick_minutes), n_ticks) - 1
     leading = F.ceil(own / tick_minutes) - 1
     nothing = F.array().cast("array<bigint>")
+
+    def span(begin: Column, end: Column) -> Column:
+        begin, end = F.greatest(begin, low), F.least(end, high)
+        return F.when(begin <= end, F.sequence(begin, end)).otherwise(nothing)
+
+    itself = F.array(F.lit(-1).cast("bigint"))
+    if within is not None:
+        inside = own.between(low * tick_minutes, (high + 1) * tick_minutes - 1)
+        itself = F.when(inside, itself).otherwise(nothing)
     ticks = F.concat(
-        F.array(F.lit(-1).cast("bigint")),
-        F.when(
-            F.col("before").isNull() & (leading >= 0), F.sequence(F.lit(0).cast("bigint"), leading)
-        ).otherwise(nothing),
-        F.when(next_tick <= last_tick, F.sequence(next_tick, last_tick)).otherwise(nothing),
+        itself,
+        F.when(F.col("before").isNull(), span(F.lit(0).cast("bigint"), leading)).otherwise(nothing),
+        span(next_tick, last_tick),
     )
     filled = rows.select("geohash6", "demand", "position", F.explode(ticks).alias("tick"))
     observed = F.col("tick") < 0

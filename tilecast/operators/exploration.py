@@ -89,7 +89,7 @@ def box_by(df: DataFrame, by: str, value: str = "demand") -> DataFrame:
     inside = F.col(value).between(F.col("q25") - reach, F.col("q75") + reach)
     return (
         df.select(by, value)
-        .join(F.broadcast(quartiles), by)
+        .join(quartiles, by)
         .groupBy(by, "q25", "q50", "q75")
         .agg(
             F.min(F.when(inside, F.col(value))).alias("whisker_low"),

@@ -39,8 +39,8 @@ def exact_percentiles(
 ) -> DataFrame:
     """Linearly interpolated percentiles per key: the keys and an array ``percentiles``.
 
-    The keys must have few levels (hours, days, column names): the cuts are broadcast, one short
-    row per level. For groups keyed by place use ``percentile``.
+    Meant for keys with few levels (hours, days, column names): the cuts are then short enough for
+    the optimizer to broadcast. For groups keyed by place use ``percentile``.
     """
     keys = list(keys)
     rows = df.filter(F.col(value).isNotNull()).select(
@@ -52,7 +52,7 @@ def exact_percentiles(
         F.percentile_approx("_v", [float(p) for p in points], accuracy).alias("_cuts")
     )
     above = [(F.col("_v") > F.get("_cuts", F.lit(i))).cast("int") for i in range(len(points))]
-    binned = rows.join(F.broadcast(cuts), keys).select(
+    binned = rows.join(cuts, keys).select(
         *keys, "_v", reduce(lambda a, b: a + b, above).alias("_bin")
     )
 
@@ -77,7 +77,7 @@ def exact_percentiles(
 
     # Distinct values of the wanted bins with their rank ranges.
     values = (
-        binned.join(F.broadcast(wanted_bins), [*keys, "_bin"])
+        binned.join(wanted_bins, [*keys, "_bin"])
         .groupBy(*keys, "_bin", "_v")
         .agg(
             F.count("*").alias("_c"),

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from tilecast.functions.calendar import with_clock
 from tilecast.schema import KEYS
 
-_PARTS = 1_000_000
-
 
 def train_window(df: DataFrame, n_days: int, start_day: int = 1) -> DataFrame:
     """Rows with ``start_day <= day <= start_day + n_days``: both ends in, so n_days + 1 days."""
@@ -55,8 +53,9 @@ def on_days(df: DataFrame, days: Sequence[int]) -> DataFrame:
 
 def split_share(keys: Sequence[str], seed: int) -> Column:
     """A number in [0, 1) fixed by the row's key and the seed alone."""
-    hashed = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-    return F.pmod(hashed, F.lit(_PARTS)) / _PARTS
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    # eight hex digits of md5, which any engine computes alike
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / 2.0**32
 
 
 def frac_sample(

@@ -12,8 +12,8 @@ from pyspark.ml.feature import (
     Imputer,
     OneHotEncoder,
     SQLTransformer,
+    StringIndexer,
     VectorAssembler,
-    VectorIndexer,
 )
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 
@@ -43,6 +43,18 @@ def _mean_imputed(categorical: Sequence[str], numerical: Sequence[str]) -> list:
     return stages
 
 
+def _indexed(categorical: Sequence[str], numerical: Sequence[str]) -> list:
+    """Categorical columns of any type as level numbers; a missing or unseen level has one of its own."""
+    casts = {f"txt_{c}": f"CAST(`{c}` AS STRING)" for c in categorical}
+    indexer = StringIndexer(
+        inputCols=list(casts),
+        outputCols=[f"cat_{c}" for c in categorical],
+        handleInvalid="keep",
+        stringOrderType="alphabetAsc",
+    )
+    return [_cast_stage(casts | _zero_filled(numerical)), *([indexer] if casts else [])]
+
+
 def _assembled(categorical: Sequence[str], numerical: Sequence[str]) -> list:
     inputs = [f"cat_{c}" for c in categorical] + [f"num_{c}" for c in numerical]
     return [
@@ -73,7 +85,11 @@ def boosted_trees_categorical(
     max_levels: int = 32,
     seed: int = SEED,
 ) -> list:
-    """Gradient-boosted trees that split categorical columns by sets of levels."""
+    """Gradient-boosted trees that split categorical columns, numbers or text, by sets of levels.
+
+    A column with more than ``max_levels`` levels makes the fit fail; it is never taken for a number.
+    ``max_levels`` also bounds the bins of numerical columns, so raise it no further than needed.
+    """
     trees = GBTRegressor(
         maxIter=n_trees,
         maxDepth=depth,
@@ -82,18 +98,10 @@ def boosted_trees_categorical(
         maxBins=max_levels + 1,
         **_COLUMNS,
     )
+    inputs = [f"cat_{c}" for c in categorical] + [f"num_{c}" for c in numerical]
     return [
-        *_mean_imputed(categorical, numerical),
-        VectorAssembler(inputCols=[f"cat_{c}" for c in categorical], outputCol="levels"),
-        VectorIndexer(
-            inputCol="levels",
-            outputCol="level_ids",
-            maxCategories=max_levels,
-            handleInvalid="keep",
-        ),
-        VectorAssembler(
-            inputCols=["level_ids", *[f"num_{c}" for c in numerical]], outputCol="features"
-        ),
+        *_indexed(categorical, numerical),
+        VectorAssembler(inputCols=inputs, outputCol="features"),
         trees,
     ]
 
@@ -105,22 +113,17 @@ def forest(
     depth: int = 10,
     seed: int = SEED,
 ) -> list:
-    """Averaged randomized trees."""
+    """Averaged randomized trees of ``depth`` levels at most; Spark ML allows 30."""
     trees = RandomForestRegressor(numTrees=n_trees, maxDepth=depth, seed=seed, **_COLUMNS)
     return [*_assembled(categorical, numerical), trees]
 
 
 def _one_hot(categorical: Sequence[str], numerical: Sequence[str]) -> list:
-    """One column per level; a level unseen in training, or missing, gets a column of its own.
-
-    The categorical columns are small non-negative numbers already, so they index themselves. They
-    move up by one to leave 0 to the missing.
-    """
-    casts = {f"cat_{c}": f"CAST(coalesce(CAST(`{c}` AS INT), -1) + 1 AS DOUBLE)" for c in categorical}
+    """One column per level; a level unseen in training, or missing, gets a column of its own."""
     return [
-        _cast_stage(casts | _zero_filled(numerical)),
+        *_indexed(categorical, numerical),
         OneHotEncoder(
-            inputCols=list(casts),
+            inputCols=[f"cat_{c}" for c in categorical],
             outputCols=[f"hot_{c}" for c in categorical],
             dropLast=False,
             handleInvalid="keep",
@@ -132,6 +135,17 @@ def _one_hot(categorical: Sequence[str], numerical: Sequence[str]) -> list:
     ]
 
 
+def stump(categorical: Sequence[str], numerical: Sequence[str], seed: int = SEED) -> list:
+    """One tree with one split: the mean of the target on either side."""
+    return boosted_trees(categorical, numerical, n_trees=1, depth=1, seed=seed)
+
+
+def least_squares(categorical: Sequence[str], numerical: Sequence[str]) -> list:
+    """A plain line on plain numbers, without penalty."""
+    line = LinearRegression(regParam=0.0, **_COLUMNS)
+    return [*_assembled(categorical, numerical), line]
+
+
 def elastic_net(
     categorical: Sequence[str],
     numerical: Sequence[str],

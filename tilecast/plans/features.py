@@ -76,15 +76,27 @@ def add_demand_features(df: DataFrame) -> DataFrame:
     return add_demand_statistics(add_lag_means(df, LAGS))
 
 
-def build_features(df: DataFrame, use_clustering: bool = True, seed: int = SEED) -> DataFrame:
+def build_features(
+    df: DataFrame,
+    use_clustering: bool = True,
+    seed: int = SEED,
+    places: DataFrame | None = None,
+) -> DataFrame:
     """Calendar, place, demand and cluster features of a completed demand table.
 
-    The cluster models need no more than a small aggregate of the table, which is written out for
-    their many passes. The wide feature rows are then made in one go, labels included.
+    The cluster models need no more than small aggregates of the table, which are written out for
+    their many passes: the distinct places, and the patterns where ``use_clustering`` asks for their
+    mixture. ``places`` may name the rows before completion, which hold the same places; then nothing
+    but the features themselves expands the grid. The wide feature rows are made in one go.
     """
     base = add_calendar_geo(df)
-    patterns = add_lat_long(materialize(gdowh_stats(base), "patterns"))
-    centres = fit_geo_centres(patterns, seed=seed)
+    if use_clustering:
+        patterns = add_lat_long(materialize(gdowh_stats(base), "patterns"))
+        points = patterns
+    else:
+        points = (df if places is None else places).select("geohash6").distinct()
+        points = add_lat_long(materialize(points, "places"))
+    centres = fit_geo_centres(points, seed=seed)
     prepared = add_geo_cluster(add_demand_features(base), centres)
     if use_clustering:
         mixture = fit_pattern_mixture(patterns, seed=seed)

@@ -23,7 +23,7 @@ from tilecast.schema import (
     NUMERICAL,
     TICK_MINUTES,
 )
-from tilecast.session import materialize, scratch_dir
+from tilecast.session import delete_tables, materialize, recorded, scratch_dir
 
 FORECAST = [*KEYS, *CALENDAR_GEO, PREDICTION]
 _RAW = ["geohash6", "day", "timestamp", "demand"]
@@ -35,13 +35,20 @@ class MeanForecaster:
     def __init__(self, strategy: str = "mean"):
         self.strategy = strategy
         self.table: DataFrame | None = None
+        self.written: list[str] = []
 
     def fit(self, df: DataFrame) -> MeanForecaster:
         """One pass over ``df``; what is kept is one row per place, day of week and tick."""
         table = tick_means(add_calendar_geo(df), self.strategy)
-        self.table = materialize(table, "tick-means")
+        with recorded() as self.written:
+            self.table = materialize(table, "tick-means")
         return self
 
+    def close(self) -> None:
+        """Remove the table written by ``fit``. Forecasts not yet written can't be computed any more."""
+        if self.table is not None:
+            delete_tables(self.table.sparkSession, self.written)
+
     def predict(self, df: DataFrame) -> DataFrame:
         """``y_hat`` for rows with calendar columns; NULL where training never saw the key."""
         table = self.table.select(*GDOWHM, F.col("y_true").alias(PREDICTION))
@@ -80,16 +87,27 @@ class DemandForecaster:
         self.prepared: DataFrame | None = None
         self.model: PipelineModel | None = None
         self.scaler = None
+        self.written: list[str] = []
 
     @property
     def features(self) -> list[str]:
         return self.categorical + self.numerical
 
-    def fit(self, df: DataFrame) -> DemandForecaster:
-        """Fit on a completed demand table (geohash6, day, timestamp, demand)."""
+    def fit(self, df: DataFrame, places: DataFrame | None = None) -> DemandForecaster:
+        """Fit on a completed demand table (geohash6, day, timestamp, demand).
+
+        ``places`` may be the rows before completion, see ``build_features``.
+        """
         mixture = {"cluster_gdowh", "cluster_prob_gdowh"} & set(self.features)
-        prepared = build_features(df, use_clustering=bool(mixture), seed=self.seed)
-        return self.fit_prepared(materialize(prepared, "prepared"))
+        with recorded() as self.written:
+            prepared = build_features(df, bool(mixture), self.seed, places)
+            prepared = materialize(prepared, "prepared")
+        return self.fit_prepared(prepared)
+
+    def close(self) -> None:
+        """Remove the tables written by ``fit``. Forecasts not yet written can't be computed any more."""
+        if self.prepared is not None:
+            delete_tables(self.prepared.sparkSession, self.written)
 
     def fit_prepared(self, prepared: DataFrame) -> DemandForecaster:
         """Fit on a feature table that is cheap to read again."""
@@ -124,8 +142,10 @@ class DemandForecaster:
         """
         future = future_rows(self.prepared, n_ticks, tick_minutes)
         looked_up = [c for c in self.features if c not in future.columns]
-        lookup = feature_lookup(self.prepared, looked_up, self.keys)
-        return self.predict(future.join(lookup, self.keys, "left")).select(*FORECAST)
+        if looked_up:
+            lookup = feature_lookup(self.prepared, looked_up, self.keys)
+            future = future.join(lookup, self.keys, "left")
+        return self.predict(future).select(*FORECAST)
 
     def feature_importances(self) -> DataFrame:
         """``feature`` and ``importances``, largest first. Levels of one column are summed."""
@@ -160,14 +180,23 @@ class TwoLevelForecaster:
     def __init__(self, first: DemandForecaster, second: DemandForecaster):
         self.first = first
         self.second = second
+        self.written: list[str] = []
 
     def fit(self, df: DataFrame) -> TwoLevelForecaster:
         self.first.fit(df)
         scored = self.first.score_training()
         residual = scored.withColumn("demand", F.col(self.first.target) - F.col(PREDICTION))
-        self.second.fit(materialize(residual.select(*_RAW), "residuals"))
+        with recorded() as self.written:
+            residual = materialize(residual.select(*_RAW), "residuals")
+        self.second.fit(residual)
         return self
 
+    def close(self) -> None:
+        """Remove the tables written by ``fit``."""
+        delete_tables(self.first.prepared.sparkSession, self.written)
+        self.first.close()
+        self.second.close()
+
     def score_training(self) -> DataFrame:
         """In-sample: ``y_true``, ``y_hat`` of the first level, ``lv2_y_hat``, and their sum."""
         first = self.first.score_training().select(

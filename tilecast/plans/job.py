@@ -24,9 +24,12 @@ def forecast_job(
     out: str | None = None,
     forecaster=None,
     out_format: str = "csv",
+    in_format: str | None = None,
 ) -> DataFrame:
     """Read demand, keep the training days, complete the grid, fit, forecast and write."""
-    train = complete_ticks(train_window(read_demand(spark, path), n_days, start_day))
+    # written once: a zip archive would be inflated for every pass over it
+    observed = materialize(train_window(read_demand(spark, path, format=in_format), n_days, start_day), "observed")
+    train = complete_ticks(observed)
     model = (forecaster or DemandForecaster()).fit(train)
     predictions = model.predict_futures(ticks)
     if out:

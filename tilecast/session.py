@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RECORDS: list[list[str]] = []
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller brings its own."""
@@ -25,8 +31,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Without that setting (tests, a laptop) a fresh temporary folder is made once and kept on the
-    context, so that Spark ML's own checkpoints use it too.
+    Without that setting a local session gets a fresh temporary folder, kept on the context so that
+    Spark ML's own checkpoints use it too, and removed when Python ends. On a cluster every machine
+    would write to a disk of its own, so a session that is not local has to name a shared folder.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -36,11 +43,39 @@ def scratch_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if current is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tilecast-"))
+        if not _is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        folder = tempfile.mkdtemp(prefix="tilecast-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
         current = sc.getCheckpointDir()
     return current
 
 
+def _is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Collects the paths of the tables that ``materialize`` writes inside."""
+    _RECORDS.append([])
+    try:
+        yield _RECORDS[-1]
+    finally:
+        paths = _RECORDS.pop()
+        if _RECORDS:
+            _RECORDS[-1].extend(paths)
+
+
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables written by ``materialize``, wherever the shared folder is."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
@@ -49,5 +84,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    for paths in _RECORDS[-1:]:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,20 +16,35 @@ from tilecast.schema import DEMAND
 _ROWS_PER_BATCH = 100_000
 
 
-def read_demand(spark: SparkSession, path: str, schema: T.StructType = DEMAND) -> DataFrame:
-    """Read a demand table, picking the reader by the file extension."""
-    extension = path.rstrip("/").rsplit(".", 1)[-1].lower()
-    if extension == "zip":
+def read_demand(
+    spark: SparkSession, path: str, schema: T.StructType = DEMAND, format: str | None = None
+) -> DataFrame:
+    """Read a demand table: ``format`` csv, zip or parquet, or what the file extension says."""
+    kind = format or path.rstrip("/").rsplit(".", 1)[-1].lower()
+    if kind == "zip":
         return read_zip_csv(spark, path, schema)
-    if extension == "parquet":
+    if kind == "parquet":
         return read_table(spark, path)
     return read_csv(spark, path, schema)
 
 
+def _typed(field: T.StructField) -> Column:
+    """A text column as ``field``: whole numbers may be written 1.0, and NaN is a missing number."""
+    text = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return text
+    number = text.try_cast("double")
+    number = F.when(~F.isnan(number), number)
+    return number.cast(field.dataType).alias(field.name)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = DEMAND) -> DataFrame:
-    """CSV with a header. Columns are taken by header name, so extra ones are ignored."""
+    """CSV with a header. Columns are taken by header name, so extra ones are ignored.
+
+    What is no number in a number's column is NULL.
+    """
     raw = spark.read.option("header", True).csv(path)
-    return raw.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    return raw.select([_typed(f) for f in schema])
 
 
 def _unzip_batches(schema: T.StructType):
@@ -55,14 +70,15 @@ def read_zip_csv(spark: SparkSession, path: str, schema: T.StructType = DEMAND)
     """Zipped CSV, which Spark's own reader cannot open.
 
     A zip archive does not split, so one task inflates one archive, in batches. The rows are spread
-    over the cluster straight after, before anything is computed on them.
+    over the cluster straight after, before anything is computed on them. Spark holds an archive as
+    one value, so it must be under 2 GB; larger inputs should be Parquet or bzip2.
     """
     archives = spark.read.format("binaryFile").load(path).select("content")
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     rows = archives.mapInPandas(_unzip_batches(schema), as_text).repartition(
         spark.sparkContext.defaultParallelism
     )
-    return rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return rows.select([_typed(f) for f in schema])
 
 
 def write_table(df: DataFrame, path: str) -> None:
