@@ -27,7 +27,7 @@ BANDS, HEIGHT = 51, 5
 #: of the share of 255 values below a similarity of 0.8.
 SLACK = 0.11
 #: Members of a bucket compared in one task at a time.
-BLOCK = 512
+BLOCK = 1024
 
 
 def add_sketches(docs: DataFrame, words: int) -> DataFrame:
