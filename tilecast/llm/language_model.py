@@ -9,11 +9,13 @@ backpropagation on its share of the sampled training documents, and the weights
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,12 @@ from tilecast.llm import recurrent
 from tilecast.llm.text import fold
 from tilecast.session import materialize
 
+def _signed(word: bytes) -> int:
+    """A word's 64-bit hash, which stands for it in all counts."""
+    h = xxhash.xxh64_intdigest(word)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
 #: Words with a symbol of their own, output classes of them, and groups of the other words.
 HEADS, HEAD_CLASSES, GROUPS, HIDDEN = 1500, 24, 32, 24
 #: Each round of training takes one in so many training documents, others every round.
@@ -30,19 +38,20 @@ SHARE, ROUNDS = 8, 2
 BLOCK_WORDS = 65_000
 #: The word that ends every text; no word is empty.
 END = b""
-TOKENS = "block long, doc_id long, held_out boolean, width int, tokens binary, words array<string>, counts array<bigint>"
+END_HASH = _signed(END)
+TOKENS = "block long, doc_id long, held_out boolean, width int, tokens binary, words array<bigint>, groups array<int>, counts array<bigint>"
 
 
 def to_blocks(docs: DataFrame, held_out) -> DataFrame:
     """Whole texts as numbers of words, in blocks of documents with a dictionary each.
 
     Rows of documents have ``tokens`` (unsigned, of ``width`` bytes), one row per block has its
-    ``words`` and their counts in training documents. A block closes before its dictionary outgrows
+    ``words`` (hashes), their groups and their counts in training documents. A block closes before its dictionary outgrows
     two-byte numbers; a document with more words than that is a block of its own.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), held_out.alias("held_out"))
     names = [c.split()[0] for c in TOKENS.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())]
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, number, held = TaskContext.get().partitionId() << 32, {END: 0}, []
@@ -57,7 +66,8 @@ def to_blocks(docs: DataFrame, held_out) -> DataFrame:
             columns = [
                 [block] * (n + 1), [d for d, _, _ in held] + [None], [o for _, o, _ in held] + [None], [width] * (n + 1),
                 [ids.astype(f"<u{width}").tobytes() for _, _, ids in held] + [None],
-                [None] * n + [[w.decode() for w in number]], [None] * n + [counts.tolist()],
+                [None] * n + [[_signed(w) for w in number]],
+                [None] * n + [[zlib.crc32(w[-2:]) % GROUPS for w in number]], [None] * n + [counts.tolist()],
             ]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -84,18 +94,17 @@ def to_streams(docs: DataFrame, held_out) -> tuple[DataFrame, recurrent.Layout,
     a row per group reach the driver.
     """
     blocks = materialize(to_blocks(docs, held_out), "word-blocks")
-    each = blocks.filter("words is not null").select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w")).select(
-        "block", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n")
+    each = blocks.filter("words is not null").select("block", F.posexplode(F.arrays_zip("words", "groups", "counts")).alias("place", "w")).select(
+        "block", "place", F.col("w.words").alias("word"), F.col("w.groups").alias("kin"), F.col("w.counts").alias("n")
     )
-    counted = each.groupBy("word").agg(F.sum("n").alias("c"))
+    counted = each.groupBy("word").agg(F.sum("n").alias("c"), F.first("kin").alias("kin"))
     spark = docs.sparkSession
     words = materialize(counted, "words")
-    top = words.filter("c > 0 and word <> ''").orderBy(F.desc("c"), "word").limit(HEADS - 1)
-    end = words.filter("word = ''").select("word", "c")
-    heads = sorted(((r.word, r.c) for r in top.unionByName(end).collect()), key=lambda r: (-r[1], r[0])) or [("", 0)]
-    head_table = spark.createDataFrame([(w, i) for i, (w, _) in enumerate(heads)], "word string, head int")
-    group = len(heads) + F.pmod(F.crc32(F.substring("word", -2, 2).cast("binary")), F.lit(GROUPS)).cast("int")
-    known = words.join(F.broadcast(head_table), "word", "left").select("word", "c", F.coalesce("head", group).alias("symbol"))
+    top = words.filter((F.col("c") > 0) & (F.col("word") != END_HASH)).orderBy(F.desc("c"), "word").limit(HEADS - 1)
+    end = words.filter(F.col("word") == END_HASH)
+    heads = sorted(((r.word, r.c) for r in top.unionByName(end).collect()), key=lambda r: (-r[1], r[0])) or [(END_HASH, 0)]
+    head_table = spark.createDataFrame([(w, i) for i, (w, _) in enumerate(heads)], "word long, head int")
+    known = words.join(F.broadcast(head_table), "word", "left").select("word", "c", F.coalesce("head", F.col("kin") + len(heads)).alias("symbol"))
 
     groups = {r.symbol: r for r in known.groupBy("symbol").agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).collect()}
     total = sum(r.n for r in groups.values())

@@ -129,7 +129,7 @@ def windows(texts: list[np.ndarray], begin: int):
         yield x, y, (lo + np.arange(steps))[:, None] < sizes[None, :live], live
 
 
-def score(p: dict, layout: Layout, texts: list[np.ndarray], width: int = 256) -> np.ndarray:
+def score(p: dict, layout: Layout, texts: list[np.ndarray], width: int = 512) -> np.ndarray:
     """Natural log-likelihood of each whole text; the state is carried from window to window."""
     of, out = layout.class_of(), np.zeros(len(texts))
     hidden = p["back"].shape[0]
