@@ -10,7 +10,9 @@ PLACES = [(f"p{i}", -5.4 + 0.01 * (i % 5) + 0.2 * (i % 2), 90.6 + 0.6 * (i % 2))
 
 @pytest.fixture(scope="module")
 def places(spark):
-    return spark.createDataFrame(PLACES, "geohash6 string, lat double, long double").cache()
+    cached = spark.createDataFrame(PLACES, "geohash6 string, lat double, long double").cache()
+    yield cached
+    cached.unpersist()
 
 
 def test_two_areas_get_their_means_as_centres(places):
@@ -73,7 +75,9 @@ def test_mixture_probability_and_ordered_ids(spark):
 def test_rows_with_missing_values_get_no_cluster(spark):
     rows = spark.createDataFrame([(0.0, 0.0), (9.0, 9.0), (None, 1.0)], "x double, y double")
     got = clusters.add_cluster(KMeans(k=2, seed=1), rows, rows, ["x", "y"], "c")
-    assert got.count() == 2
+    assert got.count() == 3
+    assert got.filter("x is null and c is null").count() == 1
+    assert got.filter("c is not null").count() == 2
 
 
 def test_scores_fall_to_the_true_number_of_components(spark):
@@ -103,3 +107,12 @@ def test_constant_column_scales_to_zero(spark):
     df = spark.createDataFrame([(3.0,), (3.0,)], "x double")
     scaler = scaling.fit_standard_scaler(df, "x")
     assert [r[0] for r in df.select(scaler.apply(F.col("x"))).collect()] == [0, 0]
+
+
+def test_rows_that_lack_a_column_stay_without_a_cluster(spark, places):
+    rows = places.unionByName(spark.createDataFrame([("bad", None, 91.0)], places.schema))
+    got = {r.geohash6: r.c for r in clusters.add_cluster(KMeans(k=2, seed=1), rows, rows, ["lat", "long"], "c").collect()}
+    assert len(got) == len(PLACES) + 1 and got["bad"] is None
+    assert sum(c is None for c in got.values()) == 1
+    near = clusters.add_geo_cluster(rows, [[-5.4, 90.6], [-5.2, 91.2]]).filter("geohash6 = 'bad'").first()
+    assert near.cluster_geo is None and near.dist_to_center_km is None

@@ -73,3 +73,19 @@ def test_null_demand_stays(spark):
     got = complete_ticks(spark.createDataFrame(rows, SCHEMA))
     assert got.filter("demand is null").count() == 1
     assert got.count() == 96
+
+
+def test_a_range_of_days_is_the_filtered_grid(spark):
+    rows = CASES["day gaps and day 0"] + CASES["off the grid"]
+    df = spark.createDataFrame(rows, SCHEMA)
+    full = tuples(complete_ticks(df))
+    for within in [(2, 7), (0, 90), (100, 200)]:
+        part = tuples(complete_ticks(df, within=within))
+        assert part == [t for t in full if within[0] <= t[1] <= within[1]]
+
+
+def test_a_day_missing_from_days_fails_and_is_not_lost(spark):
+    df = spark.createDataFrame([("a", 1, "0:0", 1.0), ("a", 2, "0:0", 1.0)], SCHEMA)
+    days = spark.createDataFrame([(1,), (3,)], "day int")
+    with pytest.raises(Exception, match="day not among days"):
+        complete_ticks(df, days=days).collect()

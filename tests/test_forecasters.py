@@ -1,4 +1,6 @@
+import os
 from functools import partial
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from tilecast.plans.forecasters import (
 )
 from tilecast.plans.job import evaluate, forecast_job
 from tilecast.schema import CATEGORICAL, KEYS, NUMERICAL
-from tilecast.session import materialize
+from tilecast.session import materialize, scratch_dir
 
 FEW = 4
 # Enough to forecast with, and no mixture to fit.
@@ -30,7 +32,9 @@ PLAIN = {
 
 @pytest.fixture(scope="module")
 def full(demand):
-    return complete_ticks(demand).cache()
+    cached = complete_ticks(demand).cache()
+    yield cached
+    cached.unpersist()
 
 
 @pytest.fixture(scope="module")
@@ -180,3 +184,47 @@ def test_evaluation_report(full):
     assert report["rmse_histogram"].agg(F.sum("n")).first()[0] == 2
     assert report["mape_histogram"].agg(F.sum("n")).first()[0] == 2
     assert report["series"].count() == 96
+
+
+TEXT = {"categorical": ["geohash6"], "numerical": ["minute"]}
+
+
+@pytest.mark.parametrize("stages", [est.boosted_trees_one_hot, est.boosted_trees_categorical])
+def test_text_categories_and_unseen_levels(spark, prepared, stages):
+    model = forecaster(partial(stages, n_trees=2, depth=2), prepared, **TEXT)
+    unseen = prepared.limit(3).withColumn("geohash6", F.lit("zzzzzz"))
+    missing = prepared.limit(3).withColumn("geohash6", F.lit(None).cast("string"))
+    for rows in (unseen, missing):
+        assert model.predict(rows).filter("y_hat is not null").count() == 3
+
+
+def test_too_many_levels_fail_and_are_not_taken_for_a_number(spark):
+    rows = spark.range(200).select((F.col("id") % 50).alias("level"), F.col("id").cast("double").alias("demand"))
+    few = partial(est.boosted_trees_categorical, n_trees=1)
+    options = {"categorical": ["level"], "numerical": []}
+    with pytest.raises(Exception, match="maxBins"):
+        forecaster(few, rows, **options)
+    assert forecaster(partial(few, max_levels=60), rows, **options).model
+
+
+def test_a_malformed_place_keeps_its_rows(spark, full):
+    odd = full.filter("day <= 2").unionByName(full.filter("day = 1").limit(3).withColumn("geohash6", F.lit("bad!")))
+    for clustering in (True, False):
+        got = build_features(odd, use_clustering=clustering)
+        assert got.count() == odd.count()
+        assert got.filter("geohash6 = 'bad!' and cluster_geo is null").count() == 3
+
+
+def test_close_removes_what_fit_wrote(full):
+    model = MeanForecaster().fit(full)
+    (path,) = model.written
+    assert os.path.isdir(path.removeprefix("file:"))
+    model.close()
+    assert not os.path.exists(path.removeprefix("file:")) and model.written == []
+
+
+def test_a_cluster_needs_a_shared_folder():
+    context = SimpleNamespace(getConf=lambda: {}, getCheckpointDir=lambda: None, master="yarn")
+    remote = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(remote)

@@ -158,3 +158,10 @@ def test_r2_and_explained_variance(spark):
     ).first()
     assert row.r2 == pytest.approx(0.5714285714)
     assert row.ev == pytest.approx(0.8571428571)
+
+
+def test_a_cell_that_does_not_fit_has_no_geohash(spark):
+    cells = [(0, 0), (32767, 32767), (32768, 0), (0, 32768), (-1, 0)]
+    df = spark.createDataFrame(cells, "la long, lo long")
+    got = [r[0] for r in df.select(geo.geohash_of_cell(F.col("la"), F.col("lo"))).collect()]
+    assert got == ["000000", "zzzzzz", None, None, None]

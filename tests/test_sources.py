@@ -2,8 +2,10 @@ import gzip
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from tilecast.sources import demand as src
+from tilecast.sources.events import demand_from_events
 
 CSV = "geohash6,day,timestamp,demand\nqp02yc,1,9:0,0.5\nqp02yf,2,10:15,1.25\n"
 ROWS = [("qp02yc", 1, "9:0", 0.5), ("qp02yf", 2, "10:15", 1.25)]
@@ -63,3 +65,29 @@ def test_predictions_are_written_with_a_header(spark, tmp_path, demand):
         back = reader.format(kind).load(path)
         assert back.columns == demand.columns
         assert back.count() == demand.count()
+
+
+def test_every_format_reads_odd_numbers_alike(spark, tmp_path):
+    """NaN and empty are missing, and a whole number may be written with a point."""
+    text = "geohash6,day,timestamp,demand\na,1.0,9:0,NaN\nb,2,9:15,\nc,3,9:30,2.5\n"
+    (tmp_path / "d.csv").write_text(text)
+    (tmp_path / "d.csv.gz").write_bytes(gzip.compress(text.encode()))
+    with zipfile.ZipFile(tmp_path / "d.zip", "w") as archive:
+        archive.writestr("d.csv", text)
+    want = [("a", 1, "9:0", None), ("b", 2, "9:15", None), ("c", 3, "9:30", 2.5)]
+    for name in ("d.csv", "d.csv.gz", "d.zip"):
+        assert rows(src.read_demand(spark, str(tmp_path / name))) == want
+
+
+def test_a_folder_without_extension_needs_its_format(spark, tmp_path):
+    path = str(tmp_path / "saved")
+    src.write_table(spark.createDataFrame(ROWS, "geohash6 string, day int, timestamp string, demand double"), path)
+    assert rows(src.read_demand(spark, path, format="parquet")) == ROWS
+
+
+def test_no_two_places_share_a_geohash(spark, tmp_path):
+    places = spark.range(400_000).union(spark.range(1_048_000, 1_049_000)).union(spark.range(857_734_000, 857_735_168))
+    events = places.select(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ts"), (F.col("id") * 10).alias("user_id"), F.lit(1.0).alias("value"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    found = demand_from_events(spark, str(tmp_path)).agg(F.count("geohash6"), F.countDistinct("geohash6"), F.max(F.length("geohash6"))).first()
+    assert tuple(found) == (402_168, 402_168, 6)

@@ -10,7 +10,9 @@ from tilecast.plans.features import add_demand_statistics
 
 @pytest.fixture(scope="module")
 def full(demand):
-    return add_calendar_geo(complete_ticks(demand)).cache()
+    cached = add_calendar_geo(complete_ticks(demand)).cache()
+    yield cached
+    cached.unpersist()
 
 
 def test_keyed_tables_equal_the_window_columns(full):
