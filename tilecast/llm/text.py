@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 #: Python passes work through an Arrow batch in runs of about so many text bytes.
 RUN_BYTES = 2_000_000
+#: Rows in an Arrow batch, at most, and the setting that says so.
+MOST_ROWS, ARROW_ROWS = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def fold(key: str, folds: int) -> Column:
@@ -101,7 +103,13 @@ _SHIPPED: dict[str, str] = {}
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, as a user of Spark does by --py-files."""
+    """Send this package to the executors once per application, as a user of Spark does by --py-files.
+
+    Also bounds the rows of an Arrow batch: rows here hold whole texts, and a batch is held by the
+    executor and by its Python worker, coming and going.
+    """
+    if int(spark.conf.get(ARROW_ROWS)) > MOST_ROWS:
+        spark.conf.set(ARROW_ROWS, str(MOST_ROWS))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
