@@ -44,8 +44,15 @@ def _mean_imputed(categorical: Sequence[str], numerical: Sequence[str]) -> list:
 
 
 def _indexed(categorical: Sequence[str], numerical: Sequence[str]) -> list:
-    """Categorical columns of any type as level numbers; a missing or unseen level has one of its own."""
-    casts = {f"txt_{c}": f"CAST(`{c}` AS STRING)" for c in categorical}
+    """Categorical columns of any type as level numbers; a missing or unseen level has one of its own.
+
+    Numbers are spelled as doubles, since a level looked up as a mean comes back as one.
+    """
+    casts = {
+        f"txt_{c}": f"CASE WHEN typeof(`{c}`) = 'string' THEN CAST(`{c}` AS STRING) "
+        f"ELSE CAST(CAST(`{c}` AS DOUBLE) AS STRING) END"
+        for c in categorical
+    }
     indexer = StringIndexer(
         inputCols=list(casts),
         outputCols=[f"cat_{c}" for c in categorical],
