@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilecast.llm.shingles import FAR, bands, shingle_set, sketches
+from tilecast.llm.shingles import bands, shingle_set, sketches
 from tilecast.llm.text import with_columns_after
 from tilecast.session import materialize
 
