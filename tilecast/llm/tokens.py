@@ -8,7 +8,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept between runs of texts, and cores of words; then only those of the last run stay.
-CACHED_WORDS = 800_000
+CACHED_WORDS = 250_000
 LETTERS_AND_DIGITS = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 STOPS = frozenset(b".,!?;:")
 
