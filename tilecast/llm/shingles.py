@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 FAR = np.iinfo(np.int64).max
 
 
