@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tests.llm.common import ODD_IDS, documents, ids_of, no_documents, odd_documents
 from tilecast.llm import near_dups
@@ -56,6 +57,30 @@ def test_chains_and_near_misses_in_small_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in found} == by_brute_force(rows, 2)
 
 
+@pytest.mark.parametrize("apart", [256, 1])
+def test_pair_of_one_bucket_led_by_a_stranger(spark, monkeypatch, apart):
+    """The sketches of 1, 2 and 3 agree in band 7 alone; elsewhere their last bytes are equal (256) or not (1)."""
+    def planted(sets, size):
+        rows = np.array([np.arange(size) * 100_000 + apart * len(s) for s in sets], np.int64).reshape(len(sets), size)
+        rows[:, 35:40] = 7
+        return rows
+
+    monkeypatch.setattr(near_dups, "sketches", planted)
+    pair = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(f"s{i}" for i in range(95))), (2, " ".join(pair)), (3, " ".join([*pair, "more"]))]
+    found = near_dups.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 2, 3: 2}
+
+
+def test_overlaps_by_brute_force(monkeypatch):
+    monkeypatch.setattr(near_dups, "ENTRIES", 40)  # several goes
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, n)).astype(np.uint64) for n in (30, 0, 1, 50, 8, 90, 20)]
+    count = near_dups.overlaps(sets)
+    for x, a in enumerate(sets):
+        assert count(x).tolist() == [len(np.intersect1d(a, b)) if y > x else 0 for y, b in enumerate(sets)]
+
+
 def test_odd_rows(spark):
     found = near_dups.near_duplicates(odd_documents(spark), 2).collect()
     assert ids_of(found) == ODD_IDS

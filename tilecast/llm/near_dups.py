@@ -4,8 +4,8 @@ Documents with equal shingle sets form a class, which its smallest doc_id stands
 classes are cut into bands; classes that agree on a band meet in a bucket. First each bucket's
 members are checked against its smallest member, on full sets. Buckets whose members are not in one
 component after that are taken up again, in blocks: all pairs of members of different components are
-compared by sketch, and those that may reach the threshold on full sets. Only links that join
-components leave a block, so no group writes all its pairs.
+compared on full sets, through the lists of members that each shingle of the block has. Only links
+that join components leave a block, so no group writes all its pairs.
 """
 
 from __future__ import annotations
@@ -23,11 +23,10 @@ from tilecast.session import materialize
 
 #: 51 bands of 5 values: at a similarity of 0.8 no band agrees in 2 of 10**9 pairs.
 BANDS, HEIGHT = 51, 5
-#: A pair whose sketches agree in a smaller share is not checked on its sets: 4.4 standard deviations
-#: of the share of 255 values below a similarity of 0.8.
-SLACK = 0.11
 #: Members of a bucket compared in one task at a time.
 BLOCK = 1024
+#: Entries of shingles' member lists looked at in one go, about.
+ENTRIES = 1 << 21
 
 
 def add_sketches(docs: DataFrame, words: int) -> DataFrame:
@@ -47,17 +46,17 @@ def add_sketches(docs: DataFrame, words: int) -> DataFrame:
 
 
 def add_sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc, shingles (sorted 64-bit numbers as binary) and sketch (a byte per value) of every row."""
+    """doc, shingles (sorted 64-bit numbers as binary) and marks (the hashes of its bands, likewise) of every row."""
     def work(texts, given):
         sets = [shingle_set(t, words) for t in texts.to_pylist()]
-        rows = (sketches(sets, BANDS * HEIGHT) & 0xFF).astype(np.uint8)
+        rows = bands(sketches(sets, BANDS * HEIGHT), BANDS, HEIGHT)
         return {
             "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
-            "sketch": pa.array([r.tobytes() for r in rows], pa.binary()),
+            "marks": pa.array([r.tobytes() for r in rows], pa.binary()),
         }
 
-    found = with_columns_after(docs, work, "shingles binary, sketch binary", keep=["doc_id"])
-    return found.select(F.col("row.doc_id").alias("doc"), "shingles", "sketch")
+    found = with_columns_after(docs, work, "shingles binary, marks binary", keep=["doc_id"])
+    return found.select(F.col("row.doc_id").alias("doc"), "shingles", "marks")
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -89,40 +88,63 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
+def overlaps(sets: list[np.ndarray]):
+    """A function that counts, for the set in place x, the elements it shares with every set; 0 for those up to x."""
+    limits = np.cumsum([0, *(len(s) for s in sets)])
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")  # equal elements together, in the order of their sets
+    ranked = flat[order]
+    lasts = np.flatnonzero(np.append(ranked[1:] != ranked[:-1], True))
+    owner = np.repeat(np.arange(len(sets)), np.diff(limits))[order]
+    first, later = np.empty(len(flat), np.int64), np.empty(len(flat), np.int64)
+    first[order] = np.arange(1, len(flat) + 1)
+    later[order] = np.repeat(lasts, np.diff(lasts, prepend=-1)) - np.arange(len(flat))
+    step = max(1, ENTRIES // len(sets))
+
+    def count(x: int) -> np.ndarray:
+        out = np.zeros(len(sets), np.int64)
+        for lo in range(limits[x], limits[x + 1], step):
+            part = slice(lo, min(lo + step, limits[x + 1]))
+            n = later[part]
+            spots = np.repeat(first[part] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            out += np.bincount(owner[spots], minlength=len(sets))
+        return out
+
+    return count
+
+
 def block_links(percent: int):
     """For one block of a bucket: links between members of different components, a spanning set of them."""
     def find(table: pa.Table) -> pa.Table:
         band = table.column("k")[0].as_py()
         cross = table.column("i")[0].as_py() != table.column("j")[0].as_py()
-        docs = table.column("doc").to_pylist()
-        part = np.asarray(table.column("chunk").to_numpy())
-        component = table.column("component").to_pylist()
+        docs = table.column("doc").to_numpy()
+        part = table.column("chunk").to_numpy()
+        component = table.column("component").to_numpy().copy()
         sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("shingles")]
-        rows = np.frombuffer(b"".join(x.as_py() for x in table.column("sketch")), np.uint8).reshape(len(docs), -1)
+        marks = np.frombuffer(b"".join(x.as_py() for x in table.column("marks")), np.int64).reshape(len(docs), -1)
         sizes = np.array([len(s) for s in sets])
-        parent = {c: c for c in component}
-
-        def root(c):
-            while parent[c] != c:
-                parent[c] = parent[parent[c]]
-                c = parent[c]
-            return c
-
-        found = []
+        # a document with several texts is here with all of them, though one alone may be in the bucket
+        _, spot, rows = np.unique(docs, return_inverse=True, return_counts=True)
+        single = rows[spot] == 1
+        count, found = overlaps(sets), []
         for x in range(len(docs) - 1):
-            agree = rows[x + 1 :] == rows[x]
-            may = agree.mean(1) >= percent / 100 - SLACK
-            may &= 100 * np.minimum(sizes[x + 1 :], sizes[x]) >= percent * np.maximum(sizes[x + 1 :], sizes[x])
+            rest = slice(x + 1, None)
+            may = component[rest] != component[x]
+            may &= 100 * np.minimum(sizes[rest], sizes[x]) >= percent * np.maximum(sizes[rest], sizes[x])
             if cross:
-                may &= part[x + 1 :] != part[x]
-            if band and may.any():  # a pair is looked at in the first band that it shares
-                at = np.flatnonzero(may)
-                earlier = agree[at, : band * HEIGHT].reshape(len(at), band, HEIGHT).all(2).any(1)
-                may[at[earlier]] = False
+                may &= part[rest] != part[x]
+            if band and single[x] and may.any():  # a pair is looked at in the first band that it shares
+                at = np.flatnonzero(may & single[rest])
+                may[at[(marks[at + x + 1, :band] == marks[x, :band]).any(1)]] = False
+            if not may.any():
+                continue
+            both = count(x)[rest]
+            may &= 100 * both >= percent * (sizes[rest] + sizes[x] - both)
             for y in (np.flatnonzero(may) + x + 1).tolist():
-                a, b = root(component[x]), root(component[y])
-                if a != b and linked(sets[x], sets[y], percent):
-                    parent[max(a, b)] = min(a, b)
+                low, high = sorted((component[x], component[y]))
+                if low != high:
+                    component[component == high] = low
                     found.append((min(docs[x], docs[y]), max(docs[x], docs[y])))
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
