@@ -75,6 +75,13 @@ def test_counts_and_base_by_brute_force(spark, monkeypatch):
     assert sum(r.score for r in found) > sum(r.base_score for r in found)
 
 
+def test_rounds_take_every_training_document(spark):
+    rows = [(d if d else None, d % 5 == 1, -float(d)) for d in range(300)]
+    streams = spark.createDataFrame(rows, "doc_id long, held_out boolean, base_score double")
+    taken = [r.doc_id for turn in range(language_model.ROUNDS) for r in language_model.turn_rows(streams, turn, language_model.SHARE).collect()]
+    assert sorted(taken, key=lambda d: d or 0) == [d for d, out, _ in rows if not out]
+
+
 def test_odd_rows(spark):
     found = language_model.score_digest(odd_documents(spark)).collect()
     assert ids_of(found) == ODD_IDS

@@ -4,7 +4,8 @@ Counts of all words over all training documents give the base score, choose the
 the model's symbols, and give every other word its probability inside its group (by its last
 letters). The recurrent model predicts symbols: a word's probability is that of its class, times its
 own inside the class. Training runs where the data is: each task trains by truncated
-backpropagation on its share of the sampled training documents, and the weights are averaged, twice.
+backpropagation on its share of the round's training documents, and the weights are averaged. The
+rounds together take every training document once.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ def _signed(word: bytes) -> int:
 
 #: Words with a symbol of their own, output classes of them, and groups of the other words.
 HEADS, HEAD_CLASSES, GROUPS, HIDDEN = 1500, 24, 32, 24
-#: Each round of training takes one in so many training documents, others every round.
-SHARE, ROUNDS = 8, 2
+#: Each round of training takes one in so many training documents, others every round: all are taken.
+SHARE = ROUNDS = 2
 #: Distinct words in a block of documents: their numbers then take two bytes.
 BLOCK_WORDS = 65_000
 #: The word that ends every text; no word is empty.
@@ -150,13 +151,18 @@ def gathered(batches: Iterator[pa.RecordBatch], most: int = 8_000_000) -> Iterat
         yield pa.Table.from_batches(held)
 
 
+def turn_rows(streams: DataFrame, turn: int, share: int) -> DataFrame:
+    """The training documents of round ``turn``: one in ``share``, each in one of ``share`` rounds."""
+    spot = F.pmod(F.xxhash64("doc_id", "base_score"), F.lit(share))
+    return streams.filter((~F.col("held_out")) & (spot == turn % share))
+
+
 def train_round(streams: DataFrame, layout: recurrent.Layout, weights: dict[str, np.ndarray], turn: int, share: int) -> dict[str, np.ndarray]:
     """The mean of the weights that the tasks reach from ``weights``, each by its tokens.
 
     The model has a fixed size. Spark averages its parts, so no task or driver sees the weights of all tasks.
     """
-    spot = F.pmod(F.xxhash64("doc_id", "base_score"), F.lit(share))
-    sample = streams.filter((~F.col("held_out")) & (spot == turn % share)).select("stream")
+    sample = turn_rows(streams, turn, share).select("stream")
     shared = streams.sparkSession.sparkContext.broadcast((weights, layout))
     names = list(weights)
 
