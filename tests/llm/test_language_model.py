@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.common import ODD_IDS, documents, ids_of, no_documents, odd_documents
 from tilecast.llm import language_model, recurrent
@@ -75,6 +76,19 @@ def test_counts_and_base_by_brute_force(spark, monkeypatch):
     assert sum(r.score for r in found) > sum(r.base_score for r in found)
 
 
+def test_copies_fill_blocks_of_few_tokens(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "BLOCK_TOKENS", 50)
+    rows = [(d, "the same seven words in every text") for d in range(40)] + [(99, "long " * 70)]  # 8 tokens each, then 71
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = language_model.to_blocks(docs, F.lit(False)).collect()
+    tokens = Counter()
+    for r in found:
+        if r.tokens is not None:
+            tokens[r.block] += len(r.tokens) // r.width
+    assert sorted(tokens.values()) == [32, *[48] * 6, 71]
+    assert sum(sum(r.counts) for r in found if r.words is not None) == 40 * 8 + 71
+
+
 def test_rounds_take_every_training_document(spark):
     rows = [(d if d else None, d % 5 == 1, -float(d)) for d in range(300)]
     streams = spark.createDataFrame(rows, "doc_id long, held_out boolean, base_score double")

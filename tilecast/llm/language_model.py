@@ -37,6 +37,8 @@ HEADS, HEAD_CLASSES, GROUPS, HIDDEN = 1500, 24, 32, 24
 SHARE = ROUNDS = 2
 #: Distinct words in a block of documents: their numbers then take two bytes.
 BLOCK_WORDS = 65_000
+#: Tokens in a block of documents, so that copies, which bring no new words, don't fill one without end.
+BLOCK_TOKENS = 4_000_000
 #: The word that ends every text; no word is empty.
 END = b""
 END_HASH = _signed(END)
@@ -48,14 +50,14 @@ def to_blocks(docs: DataFrame, held_out) -> DataFrame:
 
     Rows of documents have ``tokens`` (unsigned, of ``width`` bytes), one row per block has its
     ``words`` (hashes), their groups and their counts in training documents. A block closes before its dictionary outgrows
-    two-byte numbers; a document with more words than that is a block of its own.
+    two-byte numbers or its tokens outgrow BLOCK_TOKENS; a document with more than that is a block of its own.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), held_out.alias("held_out"))
     names = [c.split()[0] for c in TOKENS.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, number, held = TaskContext.get().partitionId() << 32, {END: 0}, []
+        block, number, held, size = TaskContext.get().partitionId() << 32, {END: 0}, [], 0
 
         def flush() -> pa.RecordBatch:
             width = 2 if len(number) <= 1 << 16 else 4
@@ -76,9 +78,10 @@ def to_blocks(docs: DataFrame, held_out) -> DataFrame:
             for doc, text, out in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "held_out")), strict=True):
                 words = text.encode().lower().split()
                 words.append(END)
-                if held and len(number) + len(set(words).difference(number)) > BLOCK_WORDS:
+                if held and (size + len(words) > BLOCK_TOKENS or len(number) + len(set(words).difference(number)) > BLOCK_WORDS):
                     yield flush()
-                    block, number, held = block + 1, {END: 0}, []
+                    block, number, held, size = block + 1, {END: 0}, [], 0
+                size += len(words)
                 held.append((doc, out, np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))))
         if held:
             yield flush()
