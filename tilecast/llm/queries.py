@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tilecast.llm import byte_bpe, chat_format, fingerprints, host_rules, language_id, language_model, near_dups, packing, token_files, toxicity
+from tilecast.llm import byte_bpe, chat_format, exact_dups, fingerprints, host_rules, language_id, language_model, near_dups, packing, token_files, toxicity
 from tilecast.llm.text import ship
 
 
@@ -60,6 +60,10 @@ def op10_packing(spark, sf_dir):
     return packing.packing_digest(_table(spark, sf_dir, "documents"), WORDS)
 
 
+def op13_exact_dups(spark, sf_dir):
+    return exact_dups.copies_digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -71,6 +75,7 @@ QUERIES = {
     "op8_near_dups": op8_near_dups,
     "op9_language_model": op9_language_model,
     "op10_packing": op10_packing,
+    "op13_exact_dups": op13_exact_dups,
 }
 
 CHAT_SQL = r"""
@@ -129,4 +134,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 O
 FROM failed JOIN verdicts ON failed.source IS NOT DISTINCT FROM verdicts.source
 """
 
-ORACLE = {"op3_chat_format": CHAT_SQL, "op5_host_rules": RULES_SQL}
+COPIES_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n_chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+  FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+  row_number() OVER w = 1 AS kept, sha256(norm) AS text_sha256
+FROM texts WINDOW w AS (PARTITION BY norm ORDER BY n_chars DESC, doc_id NULLS LAST)
+"""
+
+ORACLE = {"op3_chat_format": CHAT_SQL, "op5_host_rules": RULES_SQL, "op13_exact_dups": COPIES_SQL}
