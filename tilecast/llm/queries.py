@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tilecast.llm import byte_bpe, chat_format, exact_dups, fingerprints, host_rules, language_id, language_model, near_dups, packing, token_files, toxicity
+from tilecast.llm import byte_bpe, chat_format, exact_dups, fingerprints, hard_negatives, host_rules, language_id, language_model, near_dups, packing, token_files, toxicity
 from tilecast.llm.text import ship
 
 
@@ -60,6 +60,10 @@ def op10_packing(spark, sf_dir):
     return packing.packing_digest(_table(spark, sf_dir, "documents"), WORDS)
 
 
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine_digest(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_exact_dups(spark, sf_dir):
     return exact_dups.copies_digest(_table(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_near_dups": op8_near_dups,
     "op9_language_model": op9_language_model,
     "op10_packing": op10_packing,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_exact_dups": op13_exact_dups,
 }
 
@@ -144,4 +149,24 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
 FROM texts WINDOW w AS (PARTITION BY norm ORDER BY n_chars DESC, doc_id NULLS LAST)
 """
 
-ORACLE = {"op3_chat_format": CHAT_SQL, "op5_host_rules": RULES_SQL, "op13_exact_dups": COPIES_SQL}
+NEGATIVES_SQL = """
+WITH base AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM base a JOIN base b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER w <= 3
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+"""
+
+ORACLE = {"op3_chat_format": CHAT_SQL, "op5_host_rules": RULES_SQL, "op12_hard_negatives": NEGATIVES_SQL, "op13_exact_dups": COPIES_SQL}
