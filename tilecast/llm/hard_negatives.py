@@ -272,7 +272,7 @@ def search(rows: DataFrame, asked: DataFrame, top: TopLevel, n_anchors: int, sam
     asked = asked.withColumn("block", block)
     rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
-    def work(key, here: pa.Table, there: pa.Table) -> pa.Table:
+    def work(key: tuple[pa.Scalar, ...], here: pa.Table, there: pa.Table) -> pa.Table:
         out = []
         if here.num_rows and there.num_rows:
             of = lambda t: (t["vec_id"].to_numpy(), t["label"].to_numpy(), matrix(t["v"], top.dim))

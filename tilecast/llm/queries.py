@@ -5,13 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tilecast.llm import byte_bpe, chat_format, exact_dups, fingerprints, hard_negatives, host_rules, language_id, language_model, near_dups, packing, token_files, toxicity
+from tilecast.llm import alignment, byte_bpe, chat_format, exact_dups, fingerprints, hard_negatives, host_rules, language_id, language_model, near_dups, packing, token_files, toxicity
 from tilecast.llm.text import ship
 
 
 #: Where every machine has the tokenizers' files.
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+#: The same ids as byte_bpe_50k.json, as ranks.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +63,10 @@ def op10_packing(spark, sf_dir):
     return packing.packing_digest(_table(spark, sf_dir, "documents"), WORDS)
 
 
+def op11_alignment(spark, sf_dir):
+    return alignment.aligned(_table(spark, sf_dir, "documents"), RANKS, PIECES)
+
+
 def op12_hard_negatives(spark, sf_dir):
     return hard_negatives.mine_digest(_table(spark, sf_dir, "embeddings"))
 
@@ -79,6 +86,7 @@ QUERIES = {
     "op8_near_dups": op8_near_dups,
     "op9_language_model": op9_language_model,
     "op10_packing": op10_packing,
+    "op11_alignment": op11_alignment,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_exact_dups": op13_exact_dups,
 }
