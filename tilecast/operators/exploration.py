@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilecast.functions.calendar import shifted_hour
 from tilecast.operators.percentiles import exact_percentiles, percentile_at
+from tilecast.operators.selection import key_digest
 from tilecast.operators.series import add_sequence
 from tilecast.operators.statistics import mean_of_means
-from tilecast.schema import GEO
+from tilecast.schema import GEO, KEYS
+from tilecast.session import materialize
 
 HOURS = list(range(24))
 
@@ -77,6 +81,38 @@ def histogram(
     )
 
 
+def auto_histogram(df: DataFrame, column: str, most: int = 50) -> DataFrame:
+    """Row counts in bins whose number the data give: ``bin``, its ``low`` and ``high``, ``n``.
+
+    The width is that of Freedman and Diaconis, 2 IQR / cube root of n; with an IQR of 0 there are
+    floor(sqrt(n)) bins, and never more than ``most``. Empty bins have n = 0.
+    """
+    x = F.col(column).cast("double")
+    rows = df.filter(x.isNotNull() & ~F.isnan(x)).select(x.alias("x"))
+    ends = rows.agg(
+        F.count("*").alias("rows"),
+        F.min("x").alias("low"),
+        F.max("x").alias("high"),
+        exact_percentiles(rows, [], "x", [0.25, 0.75]).scalar().alias("percentiles"),
+    ).filter("rows > 0")
+    spread, reach = percentile_at(1) - percentile_at(0), F.col("high") - F.col("low")
+    by_width = F.ceil(reach / (2 * spread / F.pow("rows", F.lit(1 / 3))))
+    wanted = F.when(spread > 0, by_width).otherwise(F.floor(F.sqrt("rows")))
+    bins = F.greatest(F.least(wanted, F.lit(most)), F.lit(1)).cast("int")
+    plan = materialize(ends.select("low", "high", bins.alias("bins")), "bins")  # one row
+    one = plan.select(F.struct("low", "high", "bins").alias("s")).scalar()
+    bucket = F.coalesce(F.width_bucket(F.col("x"), one["low"], one["high"], one["bins"]), F.lit(1))
+    counts = rows.groupBy(F.least(bucket.cast("int"), one["bins"]).alias("bin")).agg(F.count("*").alias("n"))
+    step = (F.col("high") - F.col("low")) / F.col("bins")
+    every = plan.select("*", F.explode(F.sequence(F.lit(1), F.col("bins"))).alias("bin"))
+    return every.join(counts, "bin", "left").select(
+        "bin",
+        (F.col("low") + (F.col("bin") - 1) * step).alias("low"),
+        (F.col("low") + F.col("bin") * step).alias("high"),
+        F.coalesce("n", F.lit(0)).alias("n"),
+    )
+
+
 def box_by(df: DataFrame, by: str, value: str = "demand") -> DataFrame:
     """Quartiles per level of ``by``, and whiskers at the last values within 1.5 IQR of them."""
     quartiles = exact_percentiles(df, [by], value, [0.25, 0.5, 0.75]).select(
@@ -120,6 +156,98 @@ def grid_density(points: DataFrame, step: float = 0.05) -> DataFrame:
     )
 
 
+def kernel_density(
+    points: DataFrame, columns: Sequence[str] = ("lat", "long"), per_bandwidth: int = 4
+) -> DataFrame:
+    """A Gaussian kernel density of ``points`` on a grid: cell numbers, cell centres, ``mass``, ``density``.
+
+    The bandwidth of an axis is Scott's, its standard deviation times n^(-1 / (axes + 4)), and a cell is
+    a ``per_bandwidth``-th of it. Points are counted per cell first; then each axis in turn passes
+    every cell's mass to the cells within three bandwidths, with weights that add up to 1. Work and
+    shuffles depend on the occupied cells, not on the points. An axis without spread is one cell.
+    """
+    columns = list(columns)
+    whole = [F.col(c).cast("double") for c in columns]
+    rows = points.select([w.alias(c) for w, c in zip(whole, columns, strict=True)])
+    rows = rows.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in columns]))
+    factor = F.pow(F.count("*").cast("double"), F.lit(-1 / (len(columns) + 4)))
+    steps = rows.agg(
+        F.struct(
+            F.count("*").alias("n"),
+            *[(F.coalesce(F.stddev_samp(c), F.lit(0.0)) * factor / per_bandwidth).alias(c) for c in columns],
+        ).alias("s")
+    )
+    steps = materialize(steps, "bandwidths").scalar()
+    cells = {c: F.when(steps[c] > 0, F.floor(F.col(c) / steps[c])).otherwise(F.lit(0)) for c in columns}
+    of = {c: f"{c}_cell" for c in columns}
+    mass = rows.groupBy([x.cast("bigint").alias(of[c]) for c, x in cells.items()]).agg(
+        (F.count("*") / steps["n"]).alias("mass")
+    )
+    reach = 3 * per_bandwidth
+    weights = [math.exp(-0.5 * (o / per_bandwidth) ** 2) for o in range(-reach, reach + 1)]
+    kernel = [F.struct(F.lit(o).alias("o"), F.lit(w / sum(weights)).alias("w")) for o, w in zip(range(-reach, reach + 1), weights, strict=True)]
+    still = F.array(F.struct(F.lit(0).alias("o"), F.lit(1.0).alias("w")))
+    for c in columns:
+        spread = mass.select("*", F.inline(F.when(steps[c] > 0, F.array(*kernel)).otherwise(still)))
+        spread = spread.withColumn(of[c], F.col(of[c]) + F.col("o"))
+        mass = spread.groupBy(*of.values()).agg(F.sum(F.col("mass") * F.col("w")).alias("mass"))
+    area = reduce(lambda a, b: a * b, [F.when(steps[c] > 0, steps[c]) for c in columns])
+    centre = {c: F.when(steps[c] > 0, (F.col(of[c]) + 0.5) * steps[c]) for c in columns}
+    return mass.select(
+        *of.values(), *[x.alias(c) for c, x in centre.items()], "mass", (F.col("mass") / area).alias("density")
+    )
+
+
+#: P(Poisson(1) <= k) for k = 0, 1, ...: a uniform number's weight is how many of these it reaches.
+POISSON = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(12)]
+
+
+def bootstrap_bands(
+    df: DataFrame,
+    x: str,
+    value: str = "demand",
+    by: Sequence[str] = (),
+    keys: Sequence[str] = KEYS,
+    replicates: int = 100,
+    level: float = 0.95,
+    seed: int = 1,
+) -> DataFrame:
+    """Mean of ``value`` per ``x``, one line per level of ``by``, with a bootstrap interval: ``low``, ``high``.
+
+    Each row weighs in each replicate as often as a Poisson number of mean 1 says, made of the md5 of
+    its key, so one pass does all replicates, in any order and partitioning. Their sums are combined
+    before the shuffle. Percentiles of the replicates' means are interpolated linearly; replicates
+    that drew no row of a group are left out.
+    """
+    groups, y = [*by, x], F.col(value).cast("double")
+    rows = df.filter(y.isNotNull()).select(
+        *groups, y.alias("_y"), *[key_digest(keys, f"{seed}-{g}").alias(f"_h{g}") for g in range(-(-replicates // 4))]
+    )
+
+    def weight(r: int) -> Column:
+        digits = F.conv(F.substring(f"_h{r // 4}", 8 * (r % 4) + 1, 8), 16, 10).cast("bigint")
+        hits = [(digits >= math.ceil(p * 2**32)).cast("int") for p in POISSON]
+        return reduce(lambda a, b: a + b, hits)
+
+    rows = rows.select(*groups, "_y", *[weight(r).alias(f"_w{r}") for r in range(replicates)])
+    sums = rows.groupBy(*groups).agg(
+        F.avg("_y").alias("mean"),
+        F.count("_y").alias("n"),
+        *[F.try_divide(F.sum(F.col(f"_w{r}") * F.col("_y")), F.sum(f"_w{r}")).alias(f"_m{r}") for r in range(replicates)],
+    )
+    means = F.sort_array(F.array_compact(F.array(*[f"_m{r}" for r in range(replicates)])))
+    sums = sums.select(*groups, "mean", "n", means.alias("_m"))
+
+    def percentile(p: float) -> Column:
+        at = F.lit(p) * (F.size("_m") - 1)
+        low, past = F.floor(at).cast("int"), at - F.floor(at)
+        first = F.get("_m", low)
+        return first + (F.coalesce(F.get("_m", low + 1), first) - first) * past
+
+    tail = (1 - level) / 2
+    return sums.select(*groups, "mean", percentile(tail).alias("low"), percentile(1 - tail).alias("high"), "n")
+
+
 def place_series(
     df: DataFrame,
     places: Sequence[str] | None = None,
