@@ -6,6 +6,8 @@ cell numbers, percentiles from the engine's own function.
 
 from __future__ import annotations
 
+import math
+
 from tilecast.functions.geo import ALPHABET
 
 # Steps every query may build on; each starts from the ones it names.
@@ -188,6 +190,119 @@ _ONE_CLUSTER_EACH = f"""
   FROM {{rows}} r JOIN centres ON (long > 91) = east"""
 
 
+def _mixture(source: str, columns: list[str], k: int, steps: int) -> str:
+    """Steps ``points`` to ``shares{k}``: rows of ``source`` with a log weighted density per component.
+
+    Densities go through the Cholesky factor, covariances through a second pass with the new means.
+    """
+    d, floor = len(columns), 1e-6
+    xs, js = range(d), range(k)
+    half = [(i, m) for i in xs for m in range(i + 1)]
+
+    def cov(j: int, i: int, m: int) -> str:
+        return f"c{j}_{max(i, m)}{min(i, m)}"
+
+    at = ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(columns))
+    steps_sql = [f"points{k} AS MATERIALIZED (SELECT *, {at} FROM {source})"]
+    start = [f"1.0 / {k} AS w{j}" for j in js]
+    start += [f"min(x{i}) + {(j + 0.5) / k!r} * (max(x{i}) - min(x{i})) AS m{j}_{i}" for j in js for i in xs]
+    start += [f"covar_pop(x{i}, x{m}) + {floor if i == m else 0.0!r} AS {cov(j, i, m)}" for j in js for i, m in half]
+    steps_sql.append(f"p{k}_0 AS MATERIALIZED (SELECT {', '.join(start)} FROM points{k})")
+    for t in range(steps + 1):
+        factor = []
+        for j in js:
+            for i, m in half:
+                rest = "".join(f" - l{j}_{i}{q} * l{j}_{m}{q}" for q in range(m))
+                inner = f"{cov(j, i, m)}{rest}"
+                factor.append(f"{f'sqrt({inner})' if i == m else f'({inner}) / l{j}_{m}{m}'} AS l{j}_{i}{m}")
+        density = []
+        for j in js:
+            for i in xs:
+                rest = "".join(f" - l{j}_{i}{q} * y{j}_{q}" for q in range(i))
+                density.append(f"(x{i} - m{j}_{i}{rest}) / l{j}_{i}{i} AS y{j}_{i}")
+            logs = " + ".join(f"ln(l{j}_{i}{i})" for i in xs)
+            squares = " + ".join(f"y{j}_{i} * y{j}_{i}" for i in xs)
+            density.append(f"ln(w{j}) - {d} / 2.0 * ln(2 * pi()) - ({logs}) - 0.5 * ({squares}) AS lp{j}")
+        top = f"greatest({', '.join(f'lp{j}' for j in js)})"
+        total = " + ".join(f"exp(lp{j} - {top})" for j in js)
+        steps_sql.append(f"""f{k}_{t} AS MATERIALIZED (SELECT *, {', '.join(factor)} FROM p{k}_{t}),
+e{k}_{t} AS MATERIALIZED (SELECT *, {top} + ln({total}) AS lse
+  FROM (SELECT points{k}.*, {', '.join(density)} FROM points{k}, f{k}_{t}))""")
+        if t < steps:
+            share = [f"exp(lp{j} - lse)" for j in js]
+            mean = [f"sum({share[j]}) / count(*) AS w{j}" for j in js]
+            mean += [f"sum({share[j]} * x{i}) / sum({share[j]}) AS m{j}_{i}" for j in js for i in xs]
+            spread = [
+                f"sum({share[j]} * (x{i} - m{j}_{i}) * (x{m} - m{j}_{m})) / sum({share[j]}) + {floor if i == m else 0.0!r} AS {cov(j, i, m)}"
+                for j in js
+                for i, m in half
+            ]
+            names = ", ".join([f"any_value(w{j}) AS w{j}" for j in js] + [f"any_value(m{j}_{i}) AS m{j}_{i}" for j in js for i in xs])
+            steps_sql.append(f"""n{k}_{t} AS MATERIALIZED (SELECT {', '.join(mean)} FROM e{k}_{t}),
+p{k}_{t + 1} AS MATERIALIZED (SELECT {names}, {', '.join(spread)}
+  FROM e{k}_{t}, n{k}_{t})""")
+    last = f"e{k}_{steps}"
+    rank = [f"(SELECT count(*) FROM (SELECT unnest([{', '.join(f'm{q}_0' for q in js)}]) AS v FROM p{k}_{steps}) WHERE v < (SELECT m{j}_0 FROM p{k}_{steps}))" for j in js]
+    best = " ".join(f"WHEN lp{j} = greatest({', '.join(f'lp{q}' for q in js)}) THEN {rank[j]}" for j in js)
+    steps_sql.append(f"shares{k} AS MATERIALIZED (SELECT *, CASE {best} END AS cluster, exp(greatest({', '.join(f'lp{j}' for j in js)}) - lse) AS cluster_prob FROM {last})")
+    return ",\n".join(steps_sql)
+
+
+def _with_mixtures(columns: str, body: str, source: str, over: list[str], ks: list[int]) -> str:
+    """Like ``_sql`` over ``dem``, with mixtures of ``source``'s rows as further steps."""
+    steps = ",\n".join(_mixture(source, over, k, 5) for k in ks)
+    return _sql(columns, body, "dem").replace("\nout AS (", f"\n{steps},\nout AS (", 1)
+
+
+def _auto_histogram(source: str, most: int = 50) -> str:
+    return f"""
+  WITH ends AS (
+    SELECT count(*) AS n, min(demand) AS low, max(demand) AS high,
+           quantile_cont(demand, 0.75) - quantile_cont(demand, 0.25) AS iqr FROM {source}),
+  plan AS (
+    SELECT low, high, greatest(1, least({most}, CASE WHEN iqr > 0
+             THEN ceil((high - low) / (2 * iqr / pow(n, 1.0 / 3))) ELSE floor(sqrt(n)) END)) AS bins FROM ends)
+  SELECT bin, low + (bin - 1) * (high - low) / bins AS low, low + bin * (high - low) / bins AS high,
+         (SELECT count(*) FROM {source} WHERE least(floor(bins * (demand - low) / (high - low)) + 1, bins) = bin) AS n
+  FROM (SELECT *, unnest(range(1, CAST(bins AS INT) + 1)) AS bin FROM plan)"""
+
+
+#: The two-dimensional kernel at once, in place of one axis after the other.
+_DENSITY = """
+  WITH places AS (SELECT DISTINCT geohash6, lat, long FROM dem),
+  width AS (
+    SELECT count(*) AS n, stddev_samp(lat) * pow(count(*), -1.0 / 6) / 4 AS a,
+           stddev_samp(long) * pow(count(*), -1.0 / 6) / 4 AS b FROM places),
+  kernel AS (SELECT o, exp(-0.5 * o * o / 16.0) / sum(exp(-0.5 * o * o / 16.0)) OVER () AS w
+             FROM (SELECT unnest(range(-12, 13)) AS o))
+  SELECT floor(lat / a) + p.o AS lat_cell, floor(long / b) + q.o AS long_cell,
+         (floor(lat / a) + p.o + 0.5) * any_value(a) AS lat, (floor(long / b) + q.o + 0.5) * any_value(b) AS long,
+         sum(p.w * q.w) / any_value(n) AS mass, sum(p.w * q.w) / any_value(n) / any_value(a * b) AS density
+  FROM places, width, kernel p, kernel q GROUP BY floor(lat / a) + p.o, floor(long / b) + q.o"""
+
+
+def _bands(replicates: int) -> str:
+    digits = "substr(md5(concat_ws('|', geohash6, day, hour, minute, '1-' || (r // 4))), CAST(8 * (r % 4) + 1 AS INT), 8)"
+    poisson = " + ".join(f"(u >= {sum(math.exp(-1) / math.factorial(i) for i in range(k + 1))!r})::INT" for k in range(12))
+    return f"""
+  WITH lots AS (
+    SELECT is_weekend, (hour + 7) % 24 AS hour_p7, demand, r, CAST('0x' || {digits} AS BIGINT) / 4294967296.0 AS u
+    FROM dem, (SELECT unnest(range({replicates})) AS r)),
+  means AS (
+    SELECT is_weekend, hour_p7, r, sum(w * demand) / sum(w) AS m
+    FROM (SELECT *, {poisson} AS w FROM lots) GROUP BY ALL HAVING sum(w) > 0)
+  SELECT is_weekend, hour_p7, mean, low, high, n
+  FROM (SELECT is_weekend, (hour + 7) % 24 AS hour_p7, avg(demand) AS mean, count(*) AS n FROM dem GROUP BY ALL)
+  LEFT JOIN (SELECT is_weekend, hour_p7, quantile_cont(m, 0.025) AS low, quantile_cont(m, 0.975) AS high
+             FROM means GROUP BY ALL) USING (is_weekend, hour_p7)"""
+
+
+def _exact_order(share: float) -> str:
+    digits = "substr(md5(concat_ws('|', geohash6, day, hour, minute, '1')), 1, 15)"
+    return f"""SELECT *, row_number() OVER (ORDER BY CAST('0x' || {digits} AS BIGINT)) <= floor({share} * count(*) OVER ()) AS first
+               FROM dem"""
+
+
 def _pivot(by: str, source: str, value: str = "demand") -> str:
     hours = ", ".join(
         f"coalesce(sum({value}) FILTER (WHERE hour = {h}), 0) AS h{h}" for h in range(24)
@@ -305,7 +420,43 @@ def oracle() -> dict[str, str]:
             f"SELECT *, CASE WHEN {_SHARE} < 0.3 THEN 'test' ELSE 'train' END AS part FROM dem",
             "dem",
         ),
-        "at_place": _sql(_RAW, f"{from_dem} WHERE geohash6 = 'qp03wc'", "dem"),
+        "exact_sample": _sql(f"{_CALENDAR} timestamp:s demand:f", f"SELECT * FROM ({_exact_order(0.2)}) WHERE first", "dem"),
+        "exact_split": _sql(
+            f"{_CALENDAR} timestamp:s demand:f part:s",
+            f"SELECT *, CASE WHEN first THEN 'test' ELSE 'train' END AS part FROM ({_exact_order(0.3)})",
+            "dem",
+        ),
+        "demand_auto_histogram": _sql("bin:i low:f high:f n:i", _auto_histogram("dem"), "dem"),
+        "place_density": _sql("lat_cell:i long_cell:i lat:f long:f mass:f density:f4", _DENSITY, "dem"),
+        "demand_bands": _sql("is_weekend:b hour_p7:i mean:f low:f high:f n:i", _bands(40), "dem"),
+        "mixture_places": _with_mixtures(
+            "geohash6:s lat:f long:f cluster:i cluster_prob:f",
+            "SELECT * FROM shares2",
+            "(SELECT DISTINCT geohash6, lat, long FROM dem)",
+            ["lat", "long"],
+            [2],
+        ),
+        "mixture_rows": _with_mixtures(
+            f"{_KEY} lat:f long:f demand:f cluster:i cluster_prob:f", "SELECT * FROM shares3", "dem", ["lat", "long", "demand"], [3]
+        ),
+        "mixture_medians": _with_mixtures(
+            "lat:f long:f cluster:i demand:f n:i",
+            "SELECT lat, long, cluster, median(demand) AS demand, count(*) AS n FROM shares3 GROUP BY lat, long, cluster",
+            "dem",
+            ["lat", "long", "demand"],
+            [3],
+        ),
+        "mixture_scores": _with_mixtures(
+            "k:i aic:f3 bic:f3",
+            " UNION ALL ".join(
+                f"SELECT {k} AS k, {2 * (6 * k - 1)} - 2 * sum(lse) AS aic, {6 * k - 1} * ln(count(*)) - 2 * sum(lse) AS bic FROM shares{k}"
+                for k in (1, 2, 3)
+            ),
+            "dem",
+            ["long", "demand"],
+            [1, 2, 3],
+        ),
+        "at_place": _sql(_RAW, f"{from_dem} WHERE geohash6 = (SELECT min(geohash6) FROM dem)", "dem"),
         "on_days": _sql(_RAW, f"{from_dem} WHERE day IN (2, 3, 29, 77)", "dem"),
         "distinct_hours": _sql("hour:i", "SELECT DISTINCT hour FROM dem", "dem"),
         "source_csv": _sql(_RAW, from_dem, "dem"),
@@ -599,7 +750,7 @@ def oracle() -> dict[str, str]:
             """SELECT *, (demand - m) / s AS scaled, demand AS restored
                FROM comp, (SELECT avg(demand) AS m, stddev_pop(demand) AS s FROM comp)""",
             "comp",
-        ),
+        ).replace("comp AS (", "comp AS MATERIALIZED (", 1),
         "robust_scaled_target": _sql(
             f"{_KEY} scaled:f restored:f",
             """SELECT *, (demand - m) / s AS scaled, demand AS restored

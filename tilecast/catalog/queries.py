@@ -19,7 +19,7 @@ from tilecast.functions.calendar import (
     shifted_hour,
 )
 from tilecast.functions.geo import add_lat_long
-from tilecast.operators import clusters, evaluation, exploration, scaling, selection, series
+from tilecast.operators import clusters, evaluation, exploration, mixtures, scaling, selection, series
 from tilecast.operators import statistics as stats
 from tilecast.operators.completion import complete_ticks
 from tilecast.operators.futures import future_rows
@@ -35,7 +35,7 @@ from tilecast.sources.events import demand_from_events, event_days
 TRAIN_DAYS = 14
 DAY_AHEAD = 96
 EAST_OF = 90.73
-PLACE = "qp03wc"
+EM_STEPS = 5
 WITHOUT_MIXTURE = {
     "categorical": ["is_weekend", "dow", "hour"],
     "numerical": [c for c in NUMERICAL if c not in ("cluster_prob_gdowh", "dist_to_center_km")],
@@ -134,6 +134,19 @@ def train_test_split(spark, sf_dir):
     )
 
 
+def exact_sample(spark, sf_dir):
+    return comparable(selection.exact_sample(_demand(spark, sf_dir), 0.2))
+
+
+def exact_split(spark, sf_dir):
+    train, test = selection.exact_split(_demand(spark, sf_dir), 0.3)
+    return comparable(
+        train.withColumn("part", F.lit("train")).unionByName(
+            test.withColumn("part", F.lit("test"))
+        )
+    )
+
+
 def geo_stats(spark, sf_dir):
     return comparable(stats.geo_stats(_full(spark, sf_dir)))
 
@@ -342,6 +355,21 @@ def weekend_histogram(spark, sf_dir):
     return comparable(exploration.histogram(sums, "demand", 10, ["is_weekend"]))
 
 
+def demand_auto_histogram(spark, sf_dir):
+    return comparable(exploration.auto_histogram(_demand(spark, sf_dir), "demand"))
+
+
+def place_density(spark, sf_dir):
+    points = stats.place_points(_demand(spark, sf_dir))
+    density = exploration.kernel_density(points)
+    return comparable(density.select("lat_cell", "long_cell", "lat", "long", "mass", "density"), {"density": 4})
+
+
+def demand_bands(spark, sf_dir):
+    rows = _demand(spark, sf_dir).withColumn("hour_p7", shifted_hour(F.col("hour"), 7))
+    return comparable(exploration.bootstrap_bands(rows, "hour_p7", by=["is_weekend"], replicates=40))
+
+
 def box_by_hour(spark, sf_dir):
     return comparable(exploration.box_by(_demand(spark, sf_dir), "hour"))
 
@@ -427,8 +455,41 @@ def gmm_score_one(spark, sf_dir):
     return comparable(scores, {"aic": 3, "bic": 3})
 
 
+def mixture_places(spark, sf_dir):
+    """Two components over the places, each place's component and its probability."""
+    points = materialize(stats.place_points(_demand(spark, sf_dir)), "places")
+    model = mixtures.fit_mixtures(points, ["lat", "long"], [2], EM_STEPS, 0)[2]
+    return comparable(mixtures.add_mixture(points, model, "cluster", "cluster_prob"))
+
+
+def _row_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["lat", "long", "demand"]
+    rows = materialize(_demand(spark, sf_dir).select(*KEYS, *columns), "rows")
+    model = mixtures.fit_mixtures(rows, columns, [3], EM_STEPS, 0)[3]
+    return mixtures.add_mixture(rows, model, "cluster", "cluster_prob")
+
+
+def mixture_rows(spark, sf_dir):
+    return comparable(_row_mixture(spark, sf_dir))
+
+
+def mixture_medians(spark, sf_dir):
+    rows = _row_mixture(spark, sf_dir).groupBy("lat", "long", "cluster")
+    return comparable(rows.agg(F.median("demand").alias("demand"), F.count("*").alias("n")))
+
+
+def mixture_scores(spark, sf_dir):
+    """AIC and BIC of one to three components over place and demand, fitted side by side."""
+    rows = _demand(spark, sf_dir)
+    models = mixtures.fit_mixtures(rows, ["long", "demand"], [1, 2, 3], EM_STEPS, 0)
+    return comparable(mixtures.mixture_table(models, rows), {"aic": 3, "bic": 3})
+
+
 def at_place(spark, sf_dir):
-    return comparable(selection.at_place(demand_from_events(spark, sf_dir), PLACE))
+    """The rows of the place whose geohash comes first."""
+    demand = demand_from_events(spark, sf_dir)
+    first = demand.agg(F.min("geohash6").alias("geohash6")).scalar()
+    return comparable(selection.at_place(demand, first))
 
 
 def on_days(spark, sf_dir):
@@ -558,6 +619,8 @@ QUERIES: dict[str, Query] = {
     "holdout": holdout,
     "hash_sample": hash_sample,
     "train_test_split": train_test_split,
+    "exact_sample": exact_sample,
+    "exact_split": exact_split,
     "geo_stats": geo_stats,
     "gdow_stats": gdow_stats,
     "gdowh_stats": gdowh_stats,
@@ -594,6 +657,9 @@ QUERIES: dict[str, Query] = {
     "pivot_dow_hour": pivot_dow_hour,
     "demand_histogram": demand_histogram,
     "weekend_histogram": weekend_histogram,
+    "demand_auto_histogram": demand_auto_histogram,
+    "place_density": place_density,
+    "demand_bands": demand_bands,
     "box_by_hour": box_by_hour,
     "line_by_day": line_by_day,
     "line_by_hour": line_by_hour,
@@ -607,6 +673,10 @@ QUERIES: dict[str, Query] = {
     "row_clusters": row_clusters,
     "gmm_scores": gmm_scores,
     "gmm_score_one": gmm_score_one,
+    "mixture_places": mixture_places,
+    "mixture_rows": mixture_rows,
+    "mixture_medians": mixture_medians,
+    "mixture_scores": mixture_scores,
     "at_place": at_place,
     "on_days": on_days,
     "distinct_hours": distinct_hours,

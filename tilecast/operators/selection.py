@@ -45,7 +45,7 @@ def holdout_days(df: DataFrame, n_days: int, start_day: int = 1) -> DataFrame:
     return df.filter(~F.col("day").between(start_day, start_day + n_days))
 
 
-def at_place(df: DataFrame, geohash6: str) -> DataFrame:
+def at_place(df: DataFrame, geohash6: str | Column) -> DataFrame:
     return df.filter(F.col("geohash6") == geohash6)
 
 
