@@ -83,7 +83,10 @@ class Tokenizers:
             of_a[rank] = token
         n = b.get_piece_size()
         of_b = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(b.id_to_piece(list(range(n))))]
-        self.encoders = (lambda texts: [a.encode_ordinary(" " + t) for t in texts], lambda texts: b.encode(texts, num_threads=1))
+        self.encoders = (
+            lambda texts: flattened([a.encode_ordinary(" " + t) for t in texts]),
+            lambda texts: flattened(b.encode(texts, num_threads=1)),
+        )
         self.spellings = (Spelling(of_a), Spelling(of_b))
         self.bits = tuple((len(s.sizes) - 1).bit_length() for s in self.spellings)
         self.decimals = Spelling([b"%d," % i for i in range(max(len(of_a), len(of_b)))])
@@ -99,12 +102,12 @@ class Tokenizers:
 
     def whole(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The same for any texts, encoded as they are."""
-        out = []
-        for encode in self.encoders:
-            ids = encode(texts)
-            flat = np.concatenate([np.asarray(x, np.int64) for x in ids]) if ids else np.zeros(0, np.int64)
-            out.append((flat, np.fromiter(map(len, ids), np.int64, len(ids))))
-        return out
+        return [encode(texts) for encode in self.encoders]
+
+
+def flattened(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
 
 
 @lru_cache(2)

@@ -199,17 +199,18 @@ def cut_pieces(docs: DataFrame, file: str, sequence: int = SEQUENCE, end: int =
     names = [p.split()[0] for p in PIECES.split(", ")]
 
     def work(texts, given):
-        encoder = word_encoder(file)
-        last = np.array([end], encoder.kind).tobytes()
-        out = []
-        for whole in encoder.encode(texts.to_pylist(), last):
-            ids = np.frombuffer(whole, encoder.kind).astype("<u4")
-            parts = [ids[k : k + sequence] for k in range(0, len(ids), sequence)]
-            raw = [p.tobytes() for p in parts]
-            out.append([{"piece": k, "start": k * sequence, "length": len(p), "ids_crc32": zlib.crc32(r), "ids": r if with_ids else None}
-                        for k, (p, r) in enumerate(zip(parts, raw, strict=True))])
-        kind = pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
-        return {"pieces": pa.array(out, pa.list_(kind))}
+        ids, counts = word_encoder(file).encode_with(texts, end)
+        ids = ids.astype("<u4")
+        many = -(-counts // sequence)  # pieces of each text
+        ends = np.cumsum(many)
+        piece = np.arange(int(many.sum())) - np.repeat(ends - many, many)
+        begins = np.repeat(np.cumsum(counts) - counts, many) + piece * sequence
+        length = np.minimum(np.repeat(counts, many) - piece * sequence, sequence)
+        raw = [ids[b : b + n].tobytes() for b, n in zip(begins.tolist(), length.tolist(), strict=True)]
+        columns = [pa.array(piece, pa.int32()), pa.array(piece * sequence, pa.int64()), pa.array(length, pa.int64()),
+                   pa.array(list(map(zlib.crc32, raw)), pa.int64()), pa.array(raw if with_ids else [None] * len(raw), pa.binary())]
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.StructArray.from_arrays(columns, names[:5]))
+        return {"pieces": lists}
 
     schema = "pieces array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint,ids:binary>>"
     each = with_columns_after(docs, work, schema, keep=["doc_id"]).select("row.doc_id", F.explode("pieces").alias("p")).select("doc_id", "p.*")

@@ -6,7 +6,13 @@ apart from it, a data stream with the little-endian bytes of the ranks. Decoding
 byte up in a table of four lengths, and gathers the data bytes in one numpy pass.
 
 Blocks are rows of a Parquet table, in order of (shard, block): Parquet is only the container, since
-Spark commits it safely when tasks are lost or repeated and reads it from any store.
+Spark commits it safely when tasks are lost or repeated and reads it from any store. The row of shard -1
+holds the id of every rank, so the table alone is enough to read the documents back.
+
+Null texts are empty and hold the end id alone, as do texts without a token; a very long text is a block
+of its own. Documents lie in ascending doc_id, null first, those of one doc_id by a hash of their ids;
+repeated rows are documents each. An empty table has no documents. Only doc_id and text are read, so no
+other column can clash.
 """
 
 from __future__ import annotations
@@ -29,6 +35,8 @@ from tilecast.session import materialize
 BLOCK_IDS = 250_000
 #: The four byte lengths that each control byte stands for.
 LENGTHS = ((np.arange(256)[:, None] >> np.arange(0, 8, 2)) & 3).astype(np.uint8) + 1
+#: The shard that is the table of ranks.
+DICTIONARY = -1
 BLOCKS = "shard int, block int, n_ids long, doc_ids binary, null_ids binary, counts binary, control binary, data binary"
 
 
@@ -62,9 +70,11 @@ def encode_documents(docs: DataFrame, file: str, end: int = 1) -> DataFrame:
     """
     def work(texts, given):
         encoder = word_encoder(file)
-        last = np.array([end], encoder.kind).tobytes()
-        ids = encoder.encode(texts.to_pylist(), last)
-        return {"ids": pa.array(ids, pa.binary()), "width": pa.array([encoder.kind.itemsize] * len(ids), pa.int32())}
+        ids, counts = encoder.encode_with(texts, end)
+        width = encoder.kind.itemsize
+        ends = np.concatenate([[0], np.cumsum(counts * width)]).astype(np.int64)
+        whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+        return {"ids": whole.cast(pa.binary()), "width": pa.array(np.full(len(counts), width, np.int32))}
 
     return with_columns_after(docs, work, "ids binary, width int", keep=["doc_id"]).select("row.doc_id", "ids", "width")
 
@@ -90,10 +100,11 @@ def rank_table(encoded: DataFrame) -> np.ndarray:
     return counts.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(np.int64)
 
 
-def write_blocks(encoded: DataFrame, name: str = "token-blocks") -> tuple[DataFrame, np.ndarray]:
-    """Write all documents in ascending doc_id (null first, then by ids) as blocks; the table read back, and the id of each rank.
+def write_blocks(encoded: DataFrame, name: str = "token-blocks") -> DataFrame:
+    """Write all documents as blocks, and the id of each rank; the table read back.
 
-    One shuffle, by ranges of doc_id. Shards follow the ranges' order.
+    One shuffle, by ranges of doc_id, and of a hash and the row's place where many rows share one.
+    Shards follow the ranges' order.
     """
     by_rank = rank_table(encoded)
     ranks = np.zeros(int(by_rank.max(initial=0)) + 1, np.uint32)
@@ -128,17 +139,24 @@ def write_blocks(encoded: DataFrame, name: str = "token-blocks") -> tuple[DataFr
         if parts:
             yield flush()
 
-    ordered = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    return materialize(ordered.mapInArrow(pack, BLOCKS), name), by_rank
+    order = ["doc_id", "hash", "at"]
+    placed = encoded.withColumns({"hash": F.xxhash64("ids"), "at": F.monotonically_increasing_id()})
+    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    nothing = bytearray()
+    row = [(DICTIONARY, 0, 0, *[nothing] * 4, bytearray(by_rank.astype("<u4").tobytes()))]
+    dictionary = encoded.sparkSession.createDataFrame(row, BLOCKS)
+    return materialize(ordered.mapInArrow(pack, BLOCKS).unionByName(dictionary), name)
 
 
-def read_blocks(blocks: DataFrame, by_rank: np.ndarray, with_ids: bool = True) -> DataFrame:
-    """Every document, read from the blocks alone.
+def read_blocks(table: DataFrame, with_ids: bool = True) -> DataFrame:
+    """Every document, read from the table that ``write_blocks`` wrote alone.
 
     doc_id, start (ids of all documents before it), n_tokens, ids_crc32 and, if wanted, ids (binary,
     unsigned 32-bit).
     """
-    shared = blocks.sparkSession.sparkContext.broadcast(by_rank.astype(np.uint32))
+    blocks = table.filter(F.col("shard") != DICTIONARY)
+    held = table.filter(F.col("shard") == DICTIONARY).select("data").first()  # one id per rank
+    shared = table.sparkSession.sparkContext.broadcast(np.frombuffer(held["data"], "<u4"))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,4 +189,4 @@ def read_blocks(blocks: DataFrame, by_rank: np.ndarray, with_ids: bool = True) -
 def token_digest(docs: DataFrame, file: str) -> DataFrame:
     """What op6 returns: encode, write the blocks, read them back."""
     encoded = materialize(encode_documents(docs, file), "token-ids")
-    return read_blocks(*write_blocks(encoded), with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_blocks(write_blocks(encoded), with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -17,10 +17,10 @@ ENTRY = 150
 class WordIds:
     """Numbers words, and holds the ids of each one in one long array.
 
-    ``encode`` gives the ids of a list of words, an array-like each.
+    ``encode`` gives the ids of a list of words one after another, and how many each has.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], kind=np.uint32, most: int = CACHE_BYTES):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], kind=np.uint32, most: int = CACHE_BYTES):
         self.encode, self.kind, self.most = encode, np.dtype(kind), most
         self._clear()
 
@@ -41,9 +41,7 @@ class WordIds:
         return at
 
     def _add(self, words: list[str]) -> None:
-        found = self.encode(words)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.concatenate([np.asarray(f, self.kind) for f in found]) if sizes.sum() else np.zeros(0, self.kind)
+        flat, sizes = self.encode(words)
         self.starts = _room(self.starts, self.n + len(words) + 1)
         self.ids = _room(self.ids, self.used + len(flat))
         self.ids[self.used : self.used + len(flat)] = flat
