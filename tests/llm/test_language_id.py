@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.common import ODD_IDS, documents, ids_of, no_documents, odd_documents
@@ -48,3 +50,31 @@ def test_svm_separates():
     y = np.where(x @ np.array([1, -2, 0, 1, 3.0]) + 0.5 > 0, 1.0, -1.0)
     w = language_id.fit_svm(x, y)
     assert (np.sign(x @ w[:-1] + w[-1]) == y).mean() > 0.97
+
+
+def test_equal_texts_get_equal_answers(spark):
+    """In any order and partitioning, beside any neighbours: the answer is the text's own."""
+    alone = language_id.trigram_vectors(pa.array(["a"]))
+    assert (alone[0] == language_id.trigram_vectors(pa.array(["zz", "a", "qq"]))[1]).all()
+    model = language_id.fit_languages(language_id.training_rows(documents(spark)))
+    rows = [(i, t) for i, t in enumerate(["de", "un", "a", "no la", "the end", "el", "x"] * 60 + [r.text for r in documents(spark).limit(60).collect()])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    answers = {}
+    for shuffled in (docs.coalesce(1), docs.repartition(7), docs.orderBy(F.xxhash64("doc_id", F.lit(3)))):
+        for r in language_id.predict_languages(shuffled, model).collect():
+            assert answers.setdefault(r.row.text, (r.lang_pred, r.score)) == (r.lang_pred, r.score)
+    with pytest.raises(ValueError, match="over 2 languages"):
+        language_id.fit_languages(documents(spark), most_languages=2)
+
+
+def test_vectors_by_hand():
+    text = "Hé, the the! 9x"
+    spots = {}
+    data = [0, *(language_id.LETTERS[b] for b in text.encode()), 0]
+    for a, b, c in zip(data, data[1:], data[2:]):
+        if a or b or c:
+            spot = (((int(a) << 16) | (int(b) << 8) | int(c)) * 2654435761 % 2**32) >> (32 - language_id.WIDTH_BITS)
+            spots[spot] = spots.get(spot, 0) + 1
+    vector = language_id.trigram_vectors(pa.array([text]))[0]
+    total = sum(spots.values())
+    assert {i: round(float(v), 6) for i, v in enumerate(vector) if v} == {i: round((n / total) ** 0.5, 6) for i, n in spots.items()}

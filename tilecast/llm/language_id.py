@@ -32,19 +32,24 @@ LETTERS[65:91] = np.arange(1, 27)
 
 
 def trigram_vectors(texts: pa.Array) -> np.ndarray:
-    """One row of 2**WIDTH_BITS square-rooted trigram frequencies per text; zeros without trigrams."""
+    """One row of 2**WIDTH_BITS square-rooted trigram frequencies per text; zeros without trigrams.
+
+    A gap stands before and after every text, so that no window reaches into a neighbour.
+    """
     data, at = utf8(texts)
-    letters = np.concatenate([np.zeros(1, np.uint32), LETTERS[data], np.zeros(1, np.uint32)])
-    mixed = (letters[:-2] << 16) | (letters[1:-1] << 8) | letters[2:]
+    n = len(at) - 1
+    letters = np.zeros(len(data) + n + 1, np.uint32)
+    spot_of = np.arange(len(data)) + np.repeat(np.arange(1, n + 1), np.diff(at))
+    letters[spot_of] = LETTERS[data]
+    mixed = (letters[spot_of - 1] << 16) | (letters[spot_of] << 8) | letters[spot_of + 1]
     spots = (mixed * np.uint32(2654435761)) >> np.uint32(32 - WIDTH_BITS)
-    out = np.zeros((len(at) - 1, 1 << WIDTH_BITS), np.float32)
+    out = np.zeros((n, 1 << WIDTH_BITS), np.float32)
     gaps = mixed == 0
-    for i in range(len(at) - 1):
+    for i in range(n):
         lo, hi = at[i], at[i + 1]
         if lo == hi:
             continue
         here = spots[lo:hi][~gaps[lo:hi]]
-        # the first and last window also see a neighbour's byte; one letter of blur in a whole text
         counts = np.bincount(here, minlength=1 << WIDTH_BITS)
         out[i] = np.sqrt(counts / max(1, len(here)))
     return out
@@ -89,7 +94,8 @@ class Level:
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The winner's index, and how sure its closest pairwise win was (0.5 to 1; 1 without rivals)."""
-        margins = x @ self.weights[:-1].astype(np.float32) + self.weights[-1]
+        # doubles, rounded: which rows share a matrix product must not show in a row's result
+        margins = np.round(x.astype(np.float64) @ self.weights[:-1] + self.weights[-1], 9)
         wins = np.zeros((len(x), len(self.names)))
         for k, (a, b) in enumerate(self.pairs):
             sure = 1 / (1 + np.exp(-np.clip(3 * margins[:, k], -30, 30)))
@@ -123,15 +129,22 @@ class LanguageModel:
         return lang, score
 
 
-def fit_languages(train: DataFrame, per_language: int = 600, families: dict | None = None) -> LanguageModel:
+def fit_languages(
+    train: DataFrame, per_language: int = 600, families: dict | None = None, most_languages: int = 64, most_rows: int = 20_000
+) -> LanguageModel:
     """Fit on about ``per_language`` rows (the documented bound) of every language of ``train``.
 
     ``train`` has text, lang and doc_id; rows without lang or text are left out, doc_id only picks the
-    sample. Executors make the vectors; the driver gets at most 8 KB for each sampled row, however
-    long its text is. At most the 1,000 commonest languages are learned.
+    sample. Executors make the vectors; the driver gets 8 KB for each sampled row, however long its
+    text is, and with many languages fewer rows of each, ``most_rows`` in all. There is a machine for
+    every pair of families and of languages in one, so more than ``most_languages`` languages fail.
+    Repeated rows are rows of their own. Without a row to learn from, every text is unknown.
     """
     rows = train.filter(F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    sample = bounded_sample(rows, F.col("lang"), F.col("doc_id"), per_language)
+    n = rows.select("lang").filter(F.col("lang").isNotNull()).distinct().limit(most_languages + 1).count()
+    if n > most_languages:
+        raise ValueError(f"over {most_languages} languages: raise most_languages if the driver can hold their machines")
+    sample = bounded_sample(rows, F.col("lang"), F.col("doc_id"), min(per_language, most_rows // max(n, 1)))
 
     def vectors(batches):
         for batch in batches:
@@ -153,8 +166,11 @@ def fit_languages(train: DataFrame, per_language: int = 600, families: dict | No
 def predict_languages(docs: DataFrame, model: LanguageModel, keep: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` (all columns or those of ``keep``) as the struct ``row``, with ``lang_pred`` and ``score``.
 
-    A text that is null or has no letter gets ``und`` and 0. The model is a few vectors of fixed
-    width per pair of languages; nothing is shuffled.
+    A text that is null or has no letter gets ``und`` and 0, and so does every text if nothing was
+    learned. Equal texts get equal answers wherever they lie; a very long text is one vector like any
+    other; rows that repeat are answered each; of equal votes the name that sorts first wins. Columns of
+    ``docs`` travel in ``row``, so none can clash; an empty table gives no rows. The model is a few
+    vectors of fixed width per pair of languages; nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -177,13 +193,17 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 
 def identify(docs: DataFrame, per_language: int = 600) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every row of ``docs``."""
+    """doc_id, held_out, lang_pred, score of every row of ``docs``; odd rows as in ``predict_languages``."""
     found = predict_languages(docs, fit_languages(training_rows(docs), per_language), ["doc_id"])
     held = (fold("doc_id", 4) == 2).alias("held_out")
     return found.select("row.doc_id", "lang_pred", "score").select("doc_id", held, "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, per_language: int = 600, min_score: float = 0.25) -> DataFrame:
-    """Rows of ``docs`` with a language: not ``und``, and a score of ``min_score`` or more."""
+    """Rows of ``docs`` with a language: not ``und``, and a score of ``min_score`` or more.
+
+    A winner of all its pairs has at least 0.5 in either level, so the default rejects texts without a
+    letter and those whose pairwise votes go in a circle, no more.
+    """
     found = predict_languages(docs, fit_languages(training_rows(docs), per_language))
     return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")
