@@ -23,7 +23,7 @@ def check(found, rows):
 
 
 def test_edited_texts_and_likeness(spark, monkeypatch):
-    monkeypatch.setattr(fingerprints.add_block, "__defaults__", (7,))  # many blocks
+    monkeypatch.setattr(fingerprints, "BLOCK_ROWS", 7)  # many blocks
     docs = documents(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     found = fingerprints.imatch(docs).collect()
@@ -38,6 +38,63 @@ def test_edited_texts_and_likeness(spark, monkeypatch):
         assert (by_id[d].near_next == 1.0) == same
 
 
+def prints_by_hand(text, lexicon):
+    """The fingerprint: eight hex digits a subset, of the hash of its sorted terms' codes."""
+    words = {w for w in re.split(r"[\W_]+", text.lower()) if w in lexicon}
+    codes = sorted(lexicon[w] for w in words)
+    parts = [[c for c in codes if c % fingerprints.SUBSETS == k] for k in range(fingerprints.SUBSETS)]
+    return parts
+
+
+def test_fingerprints_and_likeness_by_hand(spark):
+    """Subsets agree exactly where the terms in them do, and every lexicon term is in one of them."""
+    docs = documents(spark)
+    lexicon = {r.term: r.code for r in fingerprints.lexicon(docs.select("text")).collect()}
+    assert {c % fingerprints.SUBSETS for c in lexicon.values()} == set(range(fingerprints.SUBSETS))
+    found = {r.doc_id: r for r in fingerprints.imatch(docs).collect()}
+    rows = edited_texts([(r.doc_id, r.text) for r in docs.collect()])
+    hands = {d: (prints_by_hand(t, lexicon), prints_by_hand(e, lexicon)) for d, t, e in rows}
+    digits = fingerprints.DIGITS
+
+    def alike(a, b, x, y):
+        if a == b and (any(a) or x == y):
+            return 1.0
+        used = sum(bool(p or q) for p, q in zip(a, b, strict=True))
+        return sum(p == q != [] for p, q in zip(a, b, strict=True)) / used if used and any(a) and any(b) else 0.0
+
+    for k, (d, t, e) in enumerate(rows):
+        own, edited = hands[d]
+        if any(own):
+            cut = [found[d].fingerprint[digits * i : digits * (i + 1)] for i in range(fingerprints.SUBSETS)]
+            assert [c == fingerprints.GAP for c in cut] == [not p for p in own]
+        else:
+            assert found[d].fingerprint.startswith("=")
+        after = rows[(k + 1) % len(rows)]
+        assert abs(found[d].near_edited - alike(own, edited, t, e)) < 1e-9
+        assert abs(found[d].near_next - alike(own, hands[after[0]][0], t, after[1])) < 1e-9
+
+
+def test_a_large_lexicon_is_shuffled(spark, monkeypatch):
+    key = lambda r: (r.doc_id is not None, r.doc_id or 0, r.fingerprint)
+    small = sorted(fingerprints.imatch(documents(spark)).collect(), key=key)
+    monkeypatch.setattr(fingerprints, "BROADCAST_TERMS", 0)
+    assert sorted(fingerprints.imatch(documents(spark)).collect(), key=key) == small
+
+
+def test_ids_of_any_range(spark, monkeypatch):
+    """Hashed ids, both ends of 64 bits, one far id, all ids null, one id for all."""
+    monkeypatch.setattr(fingerprints, "BLOCK_ROWS", 4)
+    texts = [f"text number {i:03d} of these" + " and more" * (i % 5) for i in range(40)]
+    ends = [-(2**63), 2**63 - 1]
+    for ids in ([hash((i, "x")) for i in range(38)] + ends, [*range(39), 10**15], [None] * 40, [5] * 40):
+        rows = list(zip(ids, texts, strict=True))
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        found = fingerprints.imatch(docs).collect()
+        check(found, rows)
+        placed = fingerprints.in_blocks(docs, 5)
+        assert max(r["count"] for r in placed.groupBy("block").count().collect()) <= 4
+
+
 def test_lexicon_is_the_band(spark):
     texts = documents(spark)
     counts = Counter(w for r in texts.collect() for w in set(re.findall(r"[^\W_]+", r.text.lower())))
