@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tests.llm.common import ODD_IDS, documents, ids_of, no_documents, odd_documents
 from tilecast.llm import language_model, recurrent
+from tilecast.llm.text import fold
+from tilecast.session import materialize
 
 LAYOUT = recurrent.Layout([0, 2, 5], 3)
 
@@ -49,6 +51,62 @@ def test_next_symbol_probabilities_sum_to_one():
     assert sum(np.exp(log_likelihood(p, [*before, y]) - base) for y in range(8)) == pytest.approx(1)
 
 
+def test_gradients_by_differences():
+    """Of the log-likelihood of windows in which texts end and begin, with states carried in as constants."""
+    rng = np.random.default_rng(6)
+    p = model()
+    texts = [rng.integers(0, 8, n) for n in (5, 9, 3, 12)]
+    lanes = recurrent.lane_texts(texts, 2)
+    (x, y, of, begins), = recurrent.windows(texts, lanes, LAYOUT.symbols)
+    h0 = rng.normal(0, 0.5, (2, 6))
+    first = begins.copy()
+    first[0] = False  # as if the first texts went on from before
+    t, b = np.nonzero(of >= 0)
+
+    def total(q):
+        states = recurrent.forward(q, x, first, h0).astype(np.float64)
+        return recurrent.log_likelihoods(q, LAYOUT, LAYOUT.class_of(), states[t, b], y[t, b]).sum()
+
+    grad, kept = {k: np.zeros_like(v) for k, v in p.items()}, []
+    states = recurrent.forward(p, x, first, h0, kept)
+    _, d = recurrent.log_likelihoods(p, LAYOUT, LAYOUT.class_of(), states[t, b], y[t, b], grad)
+    outer = np.zeros_like(states)
+    outer[t, b] = d
+    into = recurrent.backward(p, grad, kept, outer, first)
+    np.add.at(grad["into"], x.reshape(-1), into.reshape(-1, 18))
+    for k, v in p.items():
+        for at in [tuple(rng.integers(0, n) for n in v.shape) for _ in range(12)]:
+            up, down = ({**p, k: v.copy()} for _ in range(2))
+            up[k][at] += 1e-2
+            down[k][at] -= 1e-2
+            assert -(total(up) - total(down)) / 2e-2 == pytest.approx(grad[k][at], abs=2e-2), (k, at)
+
+
+def test_lanes_do_not_depend_on_the_order_of_texts():
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, 8, n) for n in rng.integers(0, 60, 50)]
+    p = recurrent.initial(LAYOUT, np.ones(8), 6)
+    a, seen = recurrent.train(p, LAYOUT, texts)
+    b, _ = recurrent.train(p, LAYOUT, texts[::-1])
+    assert all((a[k] == b[k]).all() for k in p) and seen == sum(map(len, texts))
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 16])
+def test_training_helps_held_out_texts_however_they_lie(spark, monkeypatch, partitions):
+    """Above the base, and above the untrained model, also where one task holds all long texts."""
+    docs = documents(spark, "0.01").repartition(partitions)
+    monkeypatch.setattr(language_model, "materialize", lambda df, name: materialize(df.coalesce(partitions) if name == "streams" else df, name))
+
+    def per_token(rounds):
+        rows = language_model.score_texts(docs, fold("doc_id", 7) == 2, rounds=rounds).filter("held_out")
+        return rows.agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
+
+    untrained, _ = per_token(0)
+    trained, base = per_token(language_model.ROUNDS)
+    print(f"log10 a held-out token in {partitions} partitions: {trained:.3f}, untrained {untrained:.3f}, base {base:.3f}")
+    assert trained > untrained + 0.005 and trained > base
+
+
 def test_training_raises_the_likelihood():
     rng = np.random.default_rng(4)
     texts = [np.tile([0, 3, 6], 20)[k : k + 50] for k in rng.integers(0, 3, 60)]

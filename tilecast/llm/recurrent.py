@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import heapq
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 
-WINDOW = 32
+#: Steps of a window; lanes of a training, at least, and steps that its tokens should make.
+WINDOW, MIN_LANES, MIN_STEPS = 32, 8, 64
 
 
 @dataclass
@@ -55,12 +58,15 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
 
-def forward(p: dict, x: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
-    """States after each of the T steps of ``x`` (T, B), from ``h`` (B, H): (T, B, H)."""
+def forward(p: dict, x: np.ndarray, begins: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
+    """States after each of the T steps of ``x`` (T, B), from ``h`` (B, H), which is zeroed where a text
+    ``begins`` (T, B): (T, B, H)."""
     n = h.shape[1]
     into, out = p["into"][x], np.empty((*x.shape, n), np.float32)
     gates_back, new_back = p["back"][:, : 2 * n], p["back"][:, 2 * n :]
     for t in range(len(x)):
+        if begins[t].any():
+            h = np.where(begins[t][:, None], np.float32(0), h)
         gates = sigmoid(into[t, :, : 2 * n] + h @ gates_back)
         z, r = gates[:, :n], gates[:, n:]
         new = np.tanh(into[t, :, 2 * n :] + (r * h) @ new_back)
@@ -107,84 +113,124 @@ def log_likelihoods(p: dict, layout: Layout, of: np.ndarray, h: np.ndarray, y: n
     return (out, dh) if grad is not None else out
 
 
-def lanes(texts: list[np.ndarray], width: int):
-    """Indices of the texts in groups of ``width`` of like length, longest first."""
-    order = np.argsort([-len(t) for t in texts], kind="stable")
-    for k in range(0, len(order), width):
-        yield order[k : k + width]
+def lane_texts(texts: list[np.ndarray], width: int) -> list[list[int]]:
+    """The texts dealt to at most ``width`` lanes of like total length, longest first.
 
-
-def windows(texts: list[np.ndarray], begin: int):
-    """For texts sorted from long to short: inputs, targets, which places are real, and how many texts are left."""
-    sizes = np.array([len(t) for t in texts])
+    Equal lengths go by a checksum of the text, so the order in which texts arrive does not matter.
+    """
+    sizes = np.array([len(t) for t in texts], np.int64)
+    order = np.lexsort((np.array([zlib.crc32(t.tobytes()) for t in texts], np.int64), -sizes))
+    filled = [(0, k) for k in range(min(width, len(texts)))]
+    lanes: list[list[int]] = [[] for _ in filled]
+    for i in order.tolist():
+        total, k = heapq.heappop(filled)
+        lanes[k].append(i)
+        heapq.heappush(filled, (total + int(sizes[i]), k))
+    return lanes
+
+
+def windows(texts: list[np.ndarray], lanes: list[list[int]], begin: int):
+    """Window by window over all lanes, where one text follows another: inputs, targets, whose token a
+    place is (-1: the lane has ended), and where texts begin. Lanes that have ended are left out."""
+    whole = []
+    for lane in lanes:
+        parts = [texts[i] for i in lane if len(texts[i])]
+        y = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
+        of = np.repeat([i for i in lane if len(texts[i])], [len(p) for p in parts]).astype(np.int64)
+        starts = np.cumsum([0, *map(len, parts)])[:-1]
+        x = np.concatenate([[begin], y[:-1]]) if len(y) else y
+        x[starts] = begin
+        whole.append((x, y, of, starts))
+    whole.sort(key=lambda w: -len(w[1]))
+    sizes = np.array([len(w[1]) for w in whole])
     for lo in range(0, int(sizes.max(initial=0)), WINDOW):
         live = int((sizes > lo).sum())
         steps = int(min(WINDOW, sizes[0] - lo))
         x, y = np.full((steps, live), begin, np.int64), np.zeros((steps, live), np.int64)
-        for b in range(live):
-            part = texts[b][lo : lo + steps]
-            y[: len(part), b] = part
-            before = texts[b][lo - 1 : lo + steps - 1] if lo else texts[b][: steps - 1]
-            x[(0 if lo else 1) : (0 if lo else 1) + len(before), b] = before
-        yield x, y, (lo + np.arange(steps))[:, None] < sizes[None, :live], live
+        of, begins = np.full((steps, live), -1, np.int64), np.zeros((steps, live), bool)
+        for b, (wx, wy, wof, starts) in enumerate(whole[:live]):
+            n = len(wy[lo : lo + steps])
+            x[:n, b], y[:n, b], of[:n, b] = wx[lo : lo + steps], wy[lo : lo + steps], wof[lo : lo + steps]
+            at = starts[np.searchsorted(starts, lo) : np.searchsorted(starts, lo + steps)]
+            begins[at - lo, b] = True
+        yield x, y, of, begins
 
 
 def score(p: dict, layout: Layout, texts: list[np.ndarray], width: int = 512) -> np.ndarray:
     """Natural log-likelihood of each whole text; the state is carried from window to window."""
-    of, out = layout.class_of(), np.zeros(len(texts))
-    hidden = p["back"].shape[0]
-    for group in lanes(texts, width):
-        h, total = np.zeros((len(group), hidden), np.float32), np.zeros(len(group))
-        for x, y, real, live in windows([texts[i] for i in group], layout.symbols):
-            states = forward(p, x, h[:live])
-            t, b = np.nonzero(real)
-            logs = log_likelihoods(p, layout, of, states[t, b], y[t, b])
-            total += np.bincount(b, logs, len(group))
-            h = states[-1]
-        out[group] = total
+    of_class, out = layout.class_of(), np.zeros(len(texts))
+    h = np.zeros((width, p["back"].shape[0]), np.float32)
+    for x, y, of, begins in windows(texts, lane_texts(texts, width), layout.symbols):
+        states = forward(p, x, begins, h[: x.shape[1]])
+        t, b = np.nonzero(of >= 0)
+        logs = log_likelihoods(p, layout, of_class, states[t, b], y[t, b])
+        out += np.bincount(of[t, b], logs, len(texts))
+        h = states[-1]
     return out
 
 
-def train(p: dict, layout: Layout, texts: list[np.ndarray], rate: float = 0.004, width: int = 64) -> tuple[dict, int]:
-    """One pass of truncated backpropagation through windows, with Adam steps; new weights, tokens seen."""
+def train(p: dict, layout: Layout, texts: list[np.ndarray], rate: float = 0.004, width: int = 256) -> tuple[dict, int]:
+    """One pass of truncated backpropagation through windows, with Adam steps; new weights, tokens seen.
+
+    A step takes a full window of all lanes. There are up to ``width`` lanes, fewer for few tokens, so
+    that they make some steps at all. Where lanes have ended, windows are taken together until their
+    tokens are half of a full one's, so that a long text left alone is not a step for every few tokens.
+    """
     p = {k: v.copy() for k, v in p.items()}
-    of, n, seen, step = layout.class_of(), p["back"].shape[0], 0, 0
+    of_class, n, seen, step = layout.class_of(), p["back"].shape[0], 0, 0
+    tokens = sum(map(len, texts))
+    width = int(min(width, max(MIN_LANES, tokens // (WINDOW * MIN_STEPS))))
+    lanes = lane_texts(texts, width)
     m1, m2 = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
-    groups = list(lanes(texts, width))
-    for g in np.random.default_rng(5).permutation(len(groups)):
-        h = np.zeros((len(groups[g]), n), np.float32)
-        for x, y, real, live in windows([texts[i] for i in groups[g]], layout.symbols):
-            kept: list = []
-            states = forward(p, x, h[:live], kept)
-            h = states[-1]
-            t, b = np.nonzero(real)
-            grad = {k: np.zeros_like(v) for k, v in p.items()}
-            _, d = log_likelihoods(p, layout, of, states[t, b], y[t, b], grad)
-            outer = np.zeros_like(states)
-            outer[t, b] = d
-            into = np.zeros((*x.shape, 3 * n), np.float32)
-            dh = np.zeros_like(states[0])
-            gates_back, new_back = p["back"][:, : 2 * n], p["back"][:, 2 * n :]
-            for s in range(len(x) - 1, -1, -1):
-                dh = dh + outer[s]
-                h0, z, r, new = kept[s]
-                da = dh * (1 - z) * (1 - new * new)
-                reset = da @ new_back.T
-                dz = dh * (h0 - new) * z * (1 - z)
-                dr = reset * h0 * r * (1 - r)
-                gates = np.concatenate([dz, dr], 1)
-                into[s, :, : 2 * n], into[s, :, 2 * n :] = gates, da
-                grad["back"][:, : 2 * n] += h0.T @ gates
-                grad["back"][:, 2 * n :] += (r * h0).T @ da
-                dh = dh * z + reset * r + gates @ gates_back.T
-            flat, rows = x.reshape(-1), into.reshape(-1, 3 * n)
-            order = np.argsort(flat, kind="stable")
-            firsts = np.flatnonzero(np.diff(flat[order], prepend=-1))
-            grad["into"][flat[order][firsts]] = np.add.reduceat(rows[order], firsts, axis=0)
-            step, seen = step + 1, seen + len(t)
-            for k, v in p.items():
-                q = np.clip(grad[k] / max(1, len(t)), -0.1, 0.1)
-                m1[k] += 0.1 * (q - m1[k])
-                m2[k] += 0.01 * (q * q - m2[k])
-                v -= rate * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-6)
+    grad, held = {k: np.zeros_like(v) for k, v in p.items()}, 0
+    h = np.zeros((len(lanes), n), np.float32)
+    for x, y, of, begins in windows(texts, lanes, layout.symbols):
+        kept: list = []
+        states = forward(p, x, begins, h[: x.shape[1]], kept)
+        h = states[-1]
+        t, b = np.nonzero(of >= 0)
+        _, d = log_likelihoods(p, layout, of_class, states[t, b], y[t, b], grad)
+        outer = np.zeros_like(states)
+        outer[t, b] = d
+        into = backward(p, grad, kept, outer, begins)
+        flat, rows = x.reshape(-1), into.reshape(-1, 3 * n)
+        order = np.argsort(flat, kind="stable")
+        firsts = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        grad["into"][flat[order][firsts]] += np.add.reduceat(rows[order], firsts, axis=0)
+        seen, held = seen + len(t), held + len(t)
+        if 2 * held < len(lanes) * WINDOW and seen < tokens:
+            continue
+        step += 1
+        for k, v in p.items():
+            q = np.clip(grad[k] / held, -0.1, 0.1)
+            m1[k] += 0.1 * (q - m1[k])
+            m2[k] += 0.01 * (q * q - m2[k])
+            # what is left at the end counts by its tokens
+            part = min(1.0, 2 * held / (len(lanes) * WINDOW))
+            v -= part * rate * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-6)
+            grad[k][:] = 0
+        held = 0
     return p, seen
+
+
+def backward(p: dict, grad: dict, kept: list, outer: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Gradients of what goes into each step, through the window alone; those of ``back`` are added to ``grad``."""
+    n = outer.shape[2]
+    into = np.zeros((*outer.shape[:2], 3 * n), np.float32)
+    dh = np.zeros_like(outer[0])
+    gates_back, new_back = p["back"][:, : 2 * n], p["back"][:, 2 * n :]
+    for s in range(len(outer) - 1, -1, -1):
+        dh = dh + outer[s]
+        h0, z, r, new = kept[s]
+        da = dh * (1 - z) * (1 - new * new)
+        reset = da @ new_back.T
+        dz = dh * (h0 - new) * z * (1 - z)
+        dr = reset * h0 * r * (1 - r)
+        gates = np.concatenate([dz, dr], 1)
+        into[s, :, : 2 * n], into[s, :, 2 * n :] = gates, da
+        grad["back"][:, : 2 * n] += h0.T @ gates
+        grad["back"][:, 2 * n :] += (r * h0).T @ da
+        dh = dh * z + reset * r + gates @ gates_back.T
+        if begins[s].any():
+            dh[begins[s]] = 0
+    return into
