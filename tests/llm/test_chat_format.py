@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from pyspark.sql import functions as F
 
@@ -42,6 +43,37 @@ def test_neighbours_merge_and_texts_hold_no_control_string(spark):
             assert not any(c in part for c in ("<|", "</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>"))
 
 
+def test_ties_go_by_the_plain_text(spark):
+    """Equal turns in order of what was said, not of how it is escaped."""
+    rows = [(1, 1, "user", t) for t in ("~", "~a", "~~", "a~", "<|a", "<a", "[INST]", "[a", "<|")]
+    found = chat_format.chat_digest(frame(spark, rows)).collect()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in found} == expected(rows)
+
+
+def test_a_long_conversation_takes_time_in_proportion(spark):
+    def rows(n):
+        return [(7, i, ("user", "assistant", "assistant")[i % 3], f"turn {i} <|end|> é😀" * (1 + i % 4)) for i in range(n)]
+
+    chat_format.chat_digest(frame(spark, rows(100))).collect()
+    spent = {}
+    for n in (4000, 16000):
+        data = frame(spark, rows(n))
+        begin = time.perf_counter()
+        (found,) = chat_format.chat_digest(data).collect()
+        spent[n] = time.perf_counter() - begin
+        assert {7: (found.n_turns, found.turns_sha256, found.loss_chars, found.loss_sha256)} == expected(rows(n))
+    assert spent[16000] < 20 and spent[16000] < 10 * spent[4000] + 2
+
+
+def test_spans_are_cut_at_any_border_of_pieces(spark, monkeypatch):
+    monkeypatch.setattr(chat_format, "PIECE", 3)
+    text = "a😀bc\nde\rfé" * 3
+    spans = [(i, n) for i in range(len(text)) for n in range(len(text) - i + 1)]
+    df = spark.createDataFrame([(text, spans), ("", []), ("", [(0, 0)])], "t string, s array<struct<start:bigint,length:bigint>>")
+    got = [r[0] for r in df.select(chat_format.cut_spans(F.col("t"), F.col("s"))).collect()]
+    assert got == [[text[i : i + n] for i, n in spans], [], [""]]
+
+
 def test_probe_and_sql(spark):
     got = QUERIES["op3_chat_format"](spark, "/root/testdata/sf0.001").toPandas()
     assert difference(got, connect("/root/testdata/sf0.001").execute(ORACLE["op3_chat_format"]).df()) is None

@@ -1,7 +1,8 @@
 """Chat formatting with DataFrame expressions only.
 
 The turns of a conversation are collected as structs, sorted, merged where neighbours have one role,
-and concatenated to one text. The template:
+and concatenated to one text. Where a turn's text will lie is a running sum over its conversation. The
+template:
 
     <|start|>ROLE<|text|>TEXT<|end|>                       a block of one turn
     <|start|>ROLE<|text|>TEXT<|next|>TEXT<|end|>           neighbours of one role, merged
@@ -13,7 +14,9 @@ every text exactly. No escaped text holds a control string.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, TEXT, NEXT, END = "<|start|>", "<|text|>", "<|next|>", "<|end|>"
@@ -40,50 +43,59 @@ def format_conversations(rows: DataFrame, loss_role: str = "assistant") -> DataF
     rows stay. Null roles and texts count as empty; rows with a null conv_id form one conversation.
     ``loss_spans`` are the start and length, in code points of ``formatted``, of each text of
     ``loss_role``; they hold no control string. One shuffle, on conv_id: the result is one value per
-    conversation, so a conversation must fit in a row.
+    conversation, so a conversation must fit in a row; the work grows in proportion to its turns.
     """
     empty = F.lit("")
-    turn = F.struct(
-        F.col("turn"),
-        escape(F.coalesce("role", empty)).alias("role"),
-        escape(F.coalesce("text", empty)).alias("text"),
-        F.coalesce("role", empty).alias("plain_role"),
-    )
-    turns = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-
-    def merge(blocks: Column, t: Column) -> Column:
-        last = F.element_at(blocks, -1)
-        same = (F.size(blocks) > 0) & (F.get(blocks, F.size(blocks) - 1)["role"] == t["role"])
-        grown = F.struct(last["role"].alias("role"), last["plain_role"].alias("plain_role"),
-                         F.concat(last["texts"], F.array(t["text"])).alias("texts"))
-        fresh = F.struct(t["role"].alias("role"), t["plain_role"].alias("plain_role"), F.array(t["text"]).alias("texts"))
-        return F.when(same, F.concat(F.slice(blocks, 1, F.size(blocks) - 1), F.array(grown))).otherwise(
-            F.concat(blocks, F.array(fresh))
-        )
-
-    none = F.array().cast("array<struct<role:string,plain_role:string,texts:array<string>>>")
-    blocks = turns.select("conv_id", F.aggregate("turns", none, merge).alias("blocks"))
-
-    def block_text(b: Column) -> Column:
-        return F.concat(F.lit(START), b["role"], F.lit(TEXT), F.array_join(b["texts"], NEXT), F.lit(END))
-
-    def text_spans(state: Column, b: Column) -> Column:
-        """The spans of one block, and the position behind it."""
-        def add(inner: Column, t: Column) -> Column:
-            span = F.struct(inner["at"].alias("start"), F.length(t).cast("long").alias("length"))
-            spans = F.when(b["plain_role"] == loss_role, F.concat(inner["spans"], F.array(span))).otherwise(inner["spans"])
-            return F.struct((inner["at"] + F.length(t) + len(NEXT)).alias("at"), spans.alias("spans"))
-
-        head = F.struct((state["at"] + len(START) + F.length(b["role"]) + len(TEXT)).alias("at"), state["spans"].alias("spans"))
-        done = F.aggregate(b["texts"], head, add)
-        return F.struct((done["at"] - len(NEXT) + len(END)).alias("at"), done["spans"].alias("spans"))
-
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
-    return blocks.select(
-        "conv_id",
-        joined(F.transform("blocks", block_text)).alias("formatted"),
-        F.aggregate("blocks", begin, text_spans)["spans"].alias("loss_spans"),
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    plain = rows.select("conv_id", "turn", F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
+    before = F.lag("role").over(order)
+    marked = plain.withColumns({"first": before.isNull(), "fresh": before.isNull() | (before != F.col("role"))})
+    marked = marked.withColumns({"said_by": escape(F.col("role")), "said": escape(F.col("text"))})
+    # code points between the text before and this one
+    opening = len(START) + F.length("said_by") + len(TEXT) + F.when(F.col("first"), 0).otherwise(len(END))
+    size = F.length("said") + F.when(F.col("fresh"), opening).otherwise(len(NEXT))
+    placed = marked.withColumn("size", size.cast("bigint")).withColumn(
+        "start", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.length("said")
     )
+    turn = F.struct("start", "fresh", "said_by", "said", (F.col("role") == loss_role).alias("counts"))
+    turns = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+
+    def whole(turns: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.size(turns) - 1)
+        begins = F.filter(numbers, lambda i: F.get(turns, i)["fresh"])
+        blocks = let(begins, lambda starts: F.transform(starts, lambda i, k: block_text(turns, starts, i, k)))
+        span = lambda t: F.struct(t["start"].alias("start"), F.length(t["said"]).cast("long").alias("length"))
+        spans = F.transform(F.filter(turns, lambda t: t["counts"]), span)
+        return F.struct(joined(blocks).alias("formatted"), spans.alias("loss_spans"))
+
+    return turns.select("conv_id", let(F.col("turns"), whole).alias("w")).select("conv_id", "w.formatted", "w.loss_spans")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def block_text(turns: Column, starts: Column, i: Column, k: Column) -> Column:
+    """The turns from number i to the next block's start, merged to one block."""
+    until = F.coalesce(F.get(starts, k + 1), F.size(turns))
+    said = F.transform(F.slice(turns, i + 1, until - i), lambda t: t["said"])
+    return F.concat(F.lit(START), F.get(turns, i)["said_by"], F.lit(TEXT), F.array_join(said, NEXT), F.lit(END))
+
+
+#: Code points of a piece that spans are cut from, so that none is counted from the text's beginning.
+PIECE = 4096
+
+
+def cut_spans(text: Column, spans: Column) -> Column:
+    """What each span (start, length) of ``text`` holds."""
+    def cut(pieces: Column, s: Column) -> Column:
+        first, last = F.floor(s["start"] / PIECE), F.floor((s["start"] + s["length"]) / PIECE)
+        near = F.array_join(F.slice(pieces, (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+        return F.substring(near, (s["start"] % PIECE + 1).cast("int"), s["length"].cast("int"))
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return let(pieces, lambda p: F.transform(spans, lambda s: cut(p, s)))
 
 
 def parse_conversations(formatted: DataFrame) -> DataFrame:
@@ -95,7 +107,7 @@ def parse_conversations(formatted: DataFrame) -> DataFrame:
         return F.transform(F.split(body, r"<\|next\|>", -1), lambda t: F.struct(unescape(role).alias("role"), unescape(t).alias("text")))
 
     blocks = F.slice(F.split("formatted", r"<\|start\|>", -1), 2, 1 << 30)
-    masked = F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))))
+    masked = F.transform(cut_spans(F.col("formatted"), F.col("loss_spans")), unescape)
     return formatted.select("conv_id", F.flatten(F.transform(blocks, parse_block)).alias("turns"), joined(masked).alias("loss_text"),
                             F.length("formatted").cast("long").alias("formatted_chars"))
 
