@@ -91,3 +91,29 @@ def test_no_two_places_share_a_geohash(spark, tmp_path):
     events.write.parquet(f"{tmp_path}/events.parquet")
     found = demand_from_events(spark, str(tmp_path)).agg(F.count("geohash6"), F.countDistinct("geohash6"), F.max(F.length("geohash6"))).first()
     assert tuple(found) == (402_168, 402_168, 6)
+
+
+def test_every_member_of_an_archive_is_a_task(spark, tmp_path):
+    path = tmp_path / "two.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("a/", "")
+        archive.writestr("a/one.csv", CSV)
+        archive.writestr("a/none.csv", "")
+        archive.writestr("two.csv", 'demand,timestamp,geohash6,day\n7,"0:0","a\nb",4\n')
+    spark.dataSource.register(src.zip_csv_source())
+    raw = spark.read.format("zip_csv").schema("geohash6 string, day string, timestamp string, demand string").load(str(path))
+    assert raw.rdd.getNumPartitions() == 2
+    df = src.read_zip_csv(spark, str(path))
+    assert rows(df) == sorted([*ROWS, ("a\nb", 4, "0:0", 7.0)])
+    plan = df._jdf.queryExecution().toString()
+    assert "binary" not in plan.lower()
+    with pytest.raises(Exception, match="FileNotFound|not found"):
+        src.read_zip_csv(spark, str(tmp_path / "none.zip")).count()
+
+
+def test_a_folder_of_archives_comes_back(spark, tmp_path, demand):
+    path = str(tmp_path / "zips")
+    src.write_zip_csv(demand.repartition(3), path)
+    assert sorted(p.name for p in (tmp_path / "zips").iterdir()) == [f"part-0000{k}.zip" for k in range(3)]
+    assert rows(src.read_demand(spark, path, format="zip")) == rows(demand)
+    assert rows(src.read_demand(spark, f"file://{path}", format="zip")) == rows(demand)

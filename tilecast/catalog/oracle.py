@@ -297,6 +297,13 @@ def _bands(replicates: int) -> str:
              FROM means GROUP BY ALL) USING (is_weekend, hour_p7)"""
 
 
+def _encoded(source: str) -> str:
+    digits = "substr(md5(concat_ws('|', geohash6, day, hour, minute, '1')), 1, 15)"
+    return f"""SELECT *, (coalesce(sum(demand) OVER w, 0) + (SELECT avg(demand) FROM {source})) / (count(*) OVER w + 1) AS enc
+               FROM {source} WINDOW w AS (PARTITION BY geohash6 ORDER BY CAST('0x' || {digits} AS BIGINT)
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+
 def _exact_order(share: float) -> str:
     digits = "substr(md5(concat_ws('|', geohash6, day, hour, minute, '1')), 1, 15)"
     return f"""SELECT *, row_number() OVER (ORDER BY CAST('0x' || {digits} AS BIGINT)) <= floor({share} * count(*) OVER ()) AS first
@@ -462,6 +469,94 @@ def oracle() -> dict[str, str]:
         "source_csv": _sql(_RAW, from_dem, "dem"),
         "source_gzip": _sql(_RAW, from_dem, "dem"),
         "source_parquet": _sql(_RAW, from_dem, "dem"),
+        "source_zip": _sql(_RAW, from_dem, "dem"),
+        "series_in_blocks": _sql(
+            f"{_KEY} demand_tmin1:f demand_tmin4:f demand_tmin672:f demand_rolling_4:f", "SELECT * FROM lagged", "lagged"
+        ),
+        "grid_in_blocks": _sql(f"{_RAW} hour:i minute:i", "SELECT * FROM comp", "comp"),
+        "target_encoding": _sql(f"{_KEY} enc:f", _encoded("dem"), "dem"),
+        "day_labels": _sql(
+            "geohash6:s day_timestamp:s timestamp:s demand:f", "SELECT *, day || ':' || timestamp AS day_timestamp FROM dem", "dem"
+        ),
+        "demand_preview": _sql(
+            f"{_KEY} demand:f n_rows:i n_columns:i",
+            """SELECT *, (SELECT count(*) FROM dem) AS n_rows, 5 AS n_columns FROM dem
+               ORDER BY geohash6, day, hour, minute LIMIT 5""",
+            "dem",
+        ),
+        "suffixed_join": _sql(
+            f"{_KEY} demand:f demand_r:f", "SELECT *, avg(demand) OVER (PARTITION BY geohash6, day) AS demand_r FROM dem", "dem"
+        ),
+        "place_scatter": _sql(
+            "lat:f long:f demand_median:f cluster_geo:i",
+            """SELECT any_value(lat) AS lat, any_value(long) AS long, median(demand) AS demand_median,
+                      CAST(any_value(long) > 91 AS INT) AS cluster_geo FROM dem GROUP BY geohash6""",
+            "dem",
+        ),
+        "forecast_category": _sql(
+            f"{_CALENDAR} y_hat:f",
+            """WITH shifts AS (SELECT *, CASE WHEN hour_p8 >= 8 THEN CAST(is_working_hour AS INT) END AS shift FROM train),
+                 filled AS (SELECT *, coalesce(shift, (SELECT avg(shift) FROM shifts)) AS f FROM shifts),
+                 line AS (SELECT regr_slope(demand, f) AS slope, regr_intercept(demand, f) AS level FROM filled),
+                 lookup AS (SELECT geohash6, dow, hour, avg(shift) AS shift FROM shifts GROUP BY ALL)
+               SELECT fut.*, level + slope * coalesce(shift, (SELECT avg(shift) FROM shifts)) AS y_hat
+               FROM fut LEFT JOIN lookup USING (geohash6, dow, hour), line""",
+            "train",
+            "fut",
+            n=5,
+        ),
+        "forecast_one_hot": _sql(
+            f"{_CALENDAR} y_hat:f4",
+            "SELECT fut.*, y_hat FROM fut JOIN (SELECT dow, avg(demand) AS y_hat FROM train GROUP BY dow) USING (dow)",
+            "train",
+            "fut",
+            n=5,
+        ),
+        "forecast_category_stump": _sql(
+            f"{_CALENDAR} y_hat:f",
+            """WITH levels AS (SELECT dow, count(*) AS n, sum(demand) AS s FROM train GROUP BY dow),
+                 cuts AS (SELECT dow, s / n AS m, sum(n) OVER w AS n_left, sum(s) OVER w AS s_left,
+                                 sum(n) OVER () AS n_all, sum(s) OVER () AS s_all
+                          FROM levels WINDOW w AS (ORDER BY s / n)),
+                 best AS (SELECT * FROM cuts WHERE n_left < n_all
+                          ORDER BY s_left * s_left / n_left + (s_all - s_left) * (s_all - s_left) / (n_all - n_left) DESC LIMIT 1)
+               SELECT fut.*, CASE WHEN cuts.m <= best.m THEN best.s_left / best.n_left
+                                  ELSE (best.s_all - best.s_left) / (best.n_all - best.n_left) END AS y_hat
+               FROM fut JOIN cuts USING (dow), best""",
+            "train",
+            "fut",
+            n=5,
+        ),
+        "forecast_shrunk_line": _sql(
+            f"{_CALENDAR} y_hat:f3",
+            """SELECT fut.*, y0 + slope * (m - x0) AS y_hat
+               FROM fut JOIN (SELECT geohash6, dow, hour, avg(demand) AS m FROM train
+                              GROUP BY geohash6, dow, hour) USING (geohash6, dow, hour), (
+                 SELECT avg(m) AS x0, avg(demand) AS y0,
+                        greatest(covar_pop(demand, m) - 0.25, 0) / (var_pop(m) + 0.25 / stddev_pop(demand)) AS slope
+                 FROM (SELECT demand, avg(demand) OVER (PARTITION BY geohash6, dow, hour) AS m FROM train))""",
+            "train",
+            "fut",
+            n=5,
+        ),
+        "forecast_encoded": _sql(
+            f"{_CALENDAR} y_hat:f",
+            f"""WITH line AS (SELECT regr_slope(demand, enc) AS slope, regr_intercept(demand, enc) AS level FROM ({_encoded('train')})),
+                 means AS (SELECT geohash6, (sum(demand) + any_value(a)) / (count(*) + 1) AS m
+                           FROM train, (SELECT avg(demand) AS a FROM train) GROUP BY geohash6)
+               SELECT fut.*, level + slope * m AS y_hat FROM fut JOIN means USING (geohash6), line""",
+            "train",
+            "fut",
+            n=5,
+        ),
+        "two_level_scores": _sql(
+            f"{_KEY} y_true:f y_hat:f lv2_y_hat:f ensemble_y_hat:f",
+            f"""WITH first AS (SELECT train.*, lv1_yhat FROM train JOIN ({_STUMP}) USING (is_weekend)),
+                 second AS (SELECT is_working_hour, avg(demand - lv1_yhat) AS lv2_y_hat FROM first GROUP BY is_working_hour)
+               SELECT first.*, demand AS y_true, lv1_yhat AS y_hat, lv2_y_hat, lv1_yhat + lv2_y_hat AS ensemble_y_hat
+               FROM first JOIN second USING (is_working_hour)""",
+            "train",
+        ),
         "mean_job": _sql(f"{_CALENDAR} y_hat:f", "SELECT * FROM fc", "fc", n=5),
         "gmm_score_one": _sql(
             "k:i aic:f3 bic:f3",

@@ -15,21 +15,23 @@ from pyspark.sql import types as T
 from tilecast.functions.calendar import (
     add_calendar_geo,
     day_of_week,
+    day_tick_label,
+    drop_day,
     is_weekend,
     shifted_hour,
 )
 from tilecast.functions.geo import add_lat_long
-from tilecast.operators import clusters, evaluation, exploration, mixtures, scaling, selection, series
+from tilecast.operators import clusters, encoding, evaluation, exploration, mixtures, scaling, selection, series
 from tilecast.operators import statistics as stats
-from tilecast.operators.completion import complete_ticks
+from tilecast.operators.completion import complete_ticks, complete_ticks_in_blocks
 from tilecast.operators.futures import future_rows
 from tilecast.plans import estimators
 from tilecast.plans.features import add_demand_features, add_demand_statistics, build_features
-from tilecast.plans.forecasters import DemandForecaster, MeanForecaster, TwoLevelForecaster
+from tilecast.plans.forecasters import DemandForecaster, EncodedForecaster, MeanForecaster, TwoLevelForecaster
 from tilecast.plans.job import forecast_job
-from tilecast.schema import KEYS, NUMERICAL
+from tilecast.schema import KEYS, LAGS, NUMERICAL
 from tilecast.session import materialize, scratch_dir
-from tilecast.sources.demand import read_demand, read_table, write_table
+from tilecast.sources.demand import read_demand, read_table, write_table, write_zip_csv
 from tilecast.sources.events import demand_from_events, event_days
 
 TRAIN_DAYS = 14
@@ -184,6 +186,50 @@ def lag_features(spark, sf_dir):
     return comparable(lagged.select(*KEYS, "demand_tmin1", "demand_tmin4", "demand_tmin672"))
 
 
+def series_in_blocks(spark, sf_dir):
+    """Lags and rolling means in blocks of 700 rows, numbered by blocks of three days."""
+    rows = series.add_series_in_blocks(_full(spark, sf_dir), LAGS, [4], 3, 700)
+    return comparable(rows.select(*KEYS, "demand_tmin1", "demand_tmin4", "demand_tmin672", "demand_rolling_4"))
+
+
+def grid_in_blocks(spark, sf_dir):
+    demand, days = demand_from_events(spark, sf_dir), event_days(spark, sf_dir)
+    return comparable(complete_ticks_in_blocks(demand, 3, days=days))
+
+
+def target_encoding(spark, sf_dir):
+    rows = encoding.ordered_target_mean(_demand(spark, sf_dir), "geohash6", "demand", "enc")
+    return comparable(rows.select(*KEYS, "enc"))
+
+
+def day_labels(spark, sf_dir):
+    rows = demand_from_events(spark, sf_dir).withColumn("day_timestamp", day_tick_label(F.col("day"), F.col("timestamp")))
+    return comparable(rows.select("geohash6", "day_timestamp", drop_day(F.col("day_timestamp")).alias("timestamp"), "demand"))
+
+
+def demand_preview(spark, sf_dir):
+    """The first rows by key, and the shape of the whole table."""
+    demand = _demand(spark, sf_dir).select(*KEYS, "demand")
+    n = demand.agg(F.count("*").alias("n")).scalar()
+    head = demand.orderBy(*KEYS).limit(5)
+    return comparable(head.withColumns({"n_rows": n, "n_columns": F.lit(len(demand.columns))}))
+
+
+def suffixed_join(spark, sf_dir):
+    """Each row's demand next to its place's daily mean of the same name."""
+    rows = _demand(spark, sf_dir).select(*KEYS, "demand")
+    daily = rows.groupBy("geohash6", "day").agg(F.avg("demand").alias("demand"))
+    return comparable(selection.join_suffixed(rows, daily, ["geohash6", "day"]))
+
+
+def place_scatter(spark, sf_dir):
+    """Points of the scatter plot: a place's coordinates, median demand and cluster."""
+    rows = materialize(_demand(spark, sf_dir).select("geohash6", "lat", "long", "demand"), "rows")
+    places = stats.place_points(rows).join(stats.place_profile(rows).select("geohash6", "demand_median"), "geohash6")
+    clustered = clusters.add_geo_cluster(places, clusters.fit_geo_centres(stats.place_points(rows)))
+    return comparable(clustered.select("lat", "long", "demand_median", "cluster_geo"))
+
+
 def lag_mean_encoding(spark, sf_dir):
     return comparable(stats.lag_means(series.add_lags(_full(spark, sf_dir))))
 
@@ -523,6 +569,13 @@ def source_parquet(spark, sf_dir):
     return comparable(read_demand(spark, path, format="parquet"))
 
 
+def source_zip(spark, sf_dir):
+    """One archive per task, one partition per member."""
+    path = f"{scratch_dir(spark).rstrip('/')}/zip-{uuid.uuid4().hex}"
+    write_zip_csv(demand_from_events(spark, sf_dir), path)
+    return comparable(read_demand(spark, path, format="zip"))
+
+
 def mean_job(spark, sf_dir):
     """The whole batch job from a file to written forecasts, read back."""
     path, out = _written(spark, sf_dir, "parquet"), f"{scratch_dir(spark).rstrip('/')}/job-{uuid.uuid4().hex}"
@@ -544,6 +597,50 @@ def forecast_linear(spark, sf_dir):
     return comparable(model.predict_futures(5))
 
 
+def _with_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training days with ``shift``, a category that is missing at night."""
+    train = materialize(add_calendar_geo(_train(spark, sf_dir)), "train")
+    return train.withColumn("shift", F.when(F.col("hour_p8") >= 8, F.col("is_working_hour").cast("double")))
+
+
+def forecast_category(spark, sf_dir):
+    """Least squares on a category with missing values, which get its mean."""
+    model = DemandForecaster(estimators.least_squares, categorical=["shift"], numerical=[])
+    return comparable(model.fit_prepared(_with_shift(spark, sf_dir)).predict_futures(5))
+
+
+def forecast_one_hot(spark, sf_dir):
+    """Least squares on one-hot days of the week: their means."""
+    model = DemandForecaster(estimators.least_squares_one_hot, categorical=["dow"], numerical=[])
+    return comparable(model.fit(_train(spark, sf_dir)).predict_futures(5), {"y_hat": 4})
+
+
+def forecast_category_stump(spark, sf_dir):
+    """One split of the days of the week into two sets."""
+    model = DemandForecaster(estimators.categorical_stump, categorical=["dow"], numerical=[])
+    return comparable(model.fit(_train(spark, sf_dir)).predict_futures(5))
+
+
+def forecast_shrunk_line(spark, sf_dir):
+    """An elastic net on one number, whose slope has a closed form."""
+    model = _simple(lambda c, n: estimators.elastic_net(c, n, penalty=0.5), "mean_demand_per_gdowh").fit(_train(spark, sf_dir))
+    return comparable(model.predict_futures(5), {"y_hat": 3})
+
+
+def forecast_encoded(spark, sf_dir):
+    """A line on the target statistic of the place, however many places there are."""
+    model = EncodedForecaster(estimators.least_squares, [], [], encoded=["geohash6"])
+    return comparable(model.fit_prepared(materialize(add_calendar_geo(_train(spark, sf_dir)), "train")).predict_futures(5))
+
+
+def two_level_scores(spark, sf_dir):
+    """In-sample forecasts of both levels, the second one on a one-hot category."""
+    second = DemandForecaster(estimators.one_hot_stump, categorical=["is_working_hour"], numerical=[])
+    model = TwoLevelForecaster(_simple(estimators.stump, "is_weekend"), second).fit(_train(spark, sf_dir))
+    scores = model.score_training().select(*KEYS, "y_true", "y_hat", "lv2_y_hat", "ensemble_y_hat")
+    return comparable(scores)
+
+
 def two_level_stump(spark, sf_dir):
     first, second = (_simple(estimators.stump, c) for c in ("is_weekend", "is_working_hour"))
     model = TwoLevelForecaster(first, second).fit(_train(spark, sf_dir))
@@ -628,6 +725,13 @@ QUERIES: dict[str, Query] = {
     "level_counts": level_counts,
     "row_counts": row_counts,
     "lag_features": lag_features,
+    "series_in_blocks": series_in_blocks,
+    "grid_in_blocks": grid_in_blocks,
+    "target_encoding": target_encoding,
+    "day_labels": day_labels,
+    "demand_preview": demand_preview,
+    "suffixed_join": suffixed_join,
+    "place_scatter": place_scatter,
     "lag_mean_encoding": lag_mean_encoding,
     "rolling_mean_4": rolling_mean_4,
     "quantile_diffs": quantile_diffs,
@@ -683,9 +787,16 @@ QUERIES: dict[str, Query] = {
     "source_csv": source_csv,
     "source_gzip": source_gzip,
     "source_parquet": source_parquet,
+    "source_zip": source_zip,
     "mean_job": mean_job,
     "forecast_stump": forecast_stump,
     "forecast_linear": forecast_linear,
+    "forecast_category": forecast_category,
+    "forecast_one_hot": forecast_one_hot,
+    "forecast_category_stump": forecast_category_stump,
+    "forecast_shrunk_line": forecast_shrunk_line,
+    "forecast_encoded": forecast_encoded,
+    "two_level_scores": two_level_scores,
     "two_level_stump": two_level_stump,
     "stump_scores": stump_scores,
     "stump_importance": stump_importance,

@@ -129,3 +129,65 @@ def complete_ticks(
         "hour",
         "minute",
     )
+
+
+def complete_ticks_in_blocks(
+    df: DataFrame,
+    block_days: int,
+    fill: float = 0.0,
+    tick_minutes: int = TICK_MINUTES,
+    days: DataFrame | None = None,
+) -> DataFrame:
+    """``complete_ticks`` for places whose rows no single task should hold: years of ticks, or repeated rows.
+
+    A place's calendar is cut into blocks of ``block_days`` of the days present. Each (place, block) has
+    a row of its own that begins it, so blocks without any observed row are filled, too, and none needs
+    to know its neighbours. Rows without a day have no place in the grid and stay as they are.
+    """
+    calendar = _calendar(df if days is None else days)
+    found = F.get(calendar["numbers"], (F.col("day") - calendar["first"]).cast("int"))
+    found = F.when(found >= 0, found)
+    lost = F.raise_error(F.concat(F.lit("complete_ticks: day not among days: "), F.col("day")))
+    columns = ["geohash6", "day", "timestamp", "demand", "hour", "minute"]
+    clocked = with_clock(df)
+    number = F.when(found.isNotNull(), found).otherwise(lost.cast("int"))
+    position = number * MINUTES_PER_DAY + F.col("hour") * 60 + F.col("minute")
+    rows = clocked.filter(F.col("day").isNotNull()).select(
+        "geohash6", "demand", F.floor(number / block_days).cast("int").alias("block"), position.cast("bigint").alias("position")
+    )
+    n_blocks = F.ceil(F.size(calendar["days"]) / block_days).cast("int")
+    begins = clocked.select("geohash6").distinct().select(
+        "geohash6",
+        F.lit(None).cast("double").alias("demand"),
+        F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"),
+        F.lit(None).cast("bigint").alias("position"),
+    )
+    per_day = MINUTES_PER_DAY // tick_minutes
+    series = Window.partitionBy("geohash6", "block").orderBy(F.asc_nulls_first("position"))
+    both = rows.unionByName(begins).withColumn("after", F.lead("position").over(series))
+    low = F.col("block").cast("bigint") * block_days * per_day
+    high = F.least(low + block_days * per_day, F.size(calendar["days"]).cast("bigint") * per_day) - 1
+    first = F.when(F.col("position").isNull(), low).otherwise(F.floor(F.col("position") / tick_minutes) + 1)
+    last = F.least(F.coalesce(F.ceil(F.col("after") / tick_minutes) - 1, high), high)
+    nothing = F.array().cast("array<bigint>")
+    missing = F.when(first <= last, F.sequence(first, last)).otherwise(nothing)
+    itself = F.when(F.col("position").isNull(), nothing).otherwise(F.array(F.lit(-1).cast("bigint")))
+    filled = both.select("geohash6", "demand", "position", F.explode(F.concat(itself, missing)).alias("tick"))
+    observed = F.col("tick") < 0
+    filled = filled.select(
+        "geohash6",
+        F.when(observed, F.col("position")).otherwise(F.col("tick") * tick_minutes).alias("position"),
+        F.when(observed, F.col("demand")).otherwise(F.lit(float(fill))).alias("demand"),
+    )
+    of_day = F.col("position") % MINUTES_PER_DAY
+    number = F.floor(F.col("position") / MINUTES_PER_DAY).cast("int")
+    hour, minute = F.floor(of_day / 60).cast("int"), (of_day % 60).cast("int")
+    filled = filled.select(
+        "geohash6",
+        F.get(calendar["days"], number).alias("day"),
+        tick_label(hour, minute).alias("timestamp"),
+        "demand",
+        hour.alias("hour"),
+        minute.alias("minute"),
+    )
+    return filled.unionByName(clocked.filter(F.col("day").isNull()).select(*columns))

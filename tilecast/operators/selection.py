@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,3 +136,15 @@ def exact_split(
 
 def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
+
+
+def join_suffixed(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", suffix: str = "_r"
+) -> DataFrame:
+    """A join in which columns of ``right`` that ``left`` has, too, get ``suffix``. Null keys meet nothing."""
+    clash = [c for c in right.columns if c in left.columns and c not in keys]
+    taken = [c + suffix for c in clash if c + suffix in left.columns or c + suffix in right.columns]
+    if taken:
+        raise ValueError(f"already a column: {', '.join(taken)}")
+    renamed = reduce(lambda d, c: d.withColumnRenamed(c, c + suffix), clash, right)
+    return left.join(renamed, list(keys), how)

@@ -153,6 +153,25 @@ def least_squares(categorical: Sequence[str], numerical: Sequence[str]) -> list:
     return [*_assembled(categorical, numerical), line]
 
 
+def least_squares_one_hot(categorical: Sequence[str], numerical: Sequence[str]) -> list:
+    """Least squares on one-hot columns, without penalty: with one category, its levels' means.
+
+    There is no intercept, since the columns of a category add up to one.
+    """
+    line = LinearRegression(regParam=0.0, fitIntercept=False, **_COLUMNS)
+    return [*_one_hot(categorical, numerical), line]
+
+
+def categorical_stump(categorical: Sequence[str], numerical: Sequence[str], seed: int = SEED) -> list:
+    """One tree with one split, of a category's levels into two sets or of a number at a value."""
+    return boosted_trees_categorical(categorical, numerical, n_trees=1, depth=1, seed=seed)
+
+
+def one_hot_stump(categorical: Sequence[str], numerical: Sequence[str], seed: int = SEED) -> list:
+    """One tree with one split of one-hot columns: one level against all others."""
+    return boosted_trees_one_hot(categorical, numerical, n_trees=1, depth=1, seed=seed)
+
+
 def elastic_net(
     categorical: Sequence[str],
     numerical: Sequence[str],

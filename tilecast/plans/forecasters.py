@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tilecast.functions.calendar import add_calendar_geo
 from tilecast.operators.clusters import SEED
+from tilecast.operators.encoding import level_target_means, ordered_target_mean, with_level_means
 from tilecast.operators.futures import future_rows
 from tilecast.operators.statistics import feature_lookup, tick_means
 from tilecast.plans.estimators import LABEL, PREDICTION, boosted_trees
@@ -160,6 +161,55 @@ class DemandForecaster:
         )
 
 
+class EncodedForecaster(DemandForecaster):
+    """A regressor that sees columns with any number of levels as target statistics, ``enc_{column}``.
+
+    Training rows take the mean of the target over earlier rows of their level, in a random order; rows
+    to predict that over all rows of their level, levels never seen the overall mean.
+    """
+
+    def __init__(self, *args, encoded: Sequence[str], prior: float = 1.0, **options):
+        super().__init__(*args, **options)
+        self.encoded = list(encoded)
+        self.prior = prior
+        self.means: dict[str, DataFrame] = {}
+        self.unseen = 0.0
+
+    def fit_prepared(self, prepared: DataFrame) -> EncodedForecaster:
+        """Fit on a feature table that is cheap to read again; the encoded one is written."""
+        rows = prepared.filter(F.col(self.target).isNotNull())
+        self.unseen = rows.agg(F.avg(self.target)).first()[0] or 0.0
+        encoded = prepared
+        with recorded() as written:
+            for c in self.encoded:
+                means = level_target_means(rows, c, self.target, f"enc_{c}", self.prior)
+                self.means[c] = materialize(means, "level-means")
+                encoded = ordered_target_mean(encoded, c, self.target, f"enc_{c}", KEYS, self.seed, self.prior)
+            encoded = materialize(encoded, "encoded")
+        self.written.extend(written)
+        own = [f"enc_{c}" for c in self.encoded]
+        self.numerical = [c for c in self.numerical if c not in own] + own
+        super().fit_prepared(encoded)
+        self.prepared = prepared
+        return self
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        """``y_hat`` for rows that carry the features and the encoded columns."""
+        rows = df
+        for c in self.encoded:
+            rows = with_level_means(rows, self.means[c], c, f"enc_{c}", self.unseen)
+        return super().predict(rows).select(*df.columns, PREDICTION)
+
+    def predict_futures(self, n_ticks: int = 5, tick_minutes: int = TICK_MINUTES) -> DataFrame:
+        """As the plain regressor; encoded columns must be among what a coming tick knows."""
+        own = [f"enc_{c}" for c in self.encoded]
+        plain, self.numerical = self.numerical, [c for c in self.numerical if c not in own]
+        try:
+            return super().predict_futures(n_ticks, tick_minutes)
+        finally:
+            self.numerical = plain
+
+
 def _vector_names(model: PipelineModel, features: Sequence[str]) -> list[str]:
     """The feature behind each slot of the model's vector."""
     sizes = {}

@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilecast.schema import DEMAND
-
-_ROWS_PER_BATCH = 100_000
+from tilecast.sources.zipped import zip_csv_source, zip_writer
 
 
 def read_demand(
@@ -47,38 +41,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = DEMAND) -> D
     return raw.select([_typed(f) for f in schema])
 
 
-def _unzip_batches(schema: T.StructType):
-    names = schema.fieldNames()
-
-    def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for content in batch["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for member in archive.infolist():
-                        if member.is_dir():
-                            continue
-                        with archive.open(member) as lines:
-                            for rows in pd.read_csv(
-                                lines, usecols=names, dtype=str, chunksize=_ROWS_PER_BATCH
-                            ):
-                                yield rows[names]
-
-    return unzip
-
-
 def read_zip_csv(spark: SparkSession, path: str, schema: T.StructType = DEMAND) -> DataFrame:
-    """Zipped CSV, which Spark's own reader cannot open.
+    """Zipped CSV with headers, which Spark's own reader cannot open: one archive, or a folder of them.
 
-    A zip archive does not split, so one task inflates one archive, in batches. The rows are spread
-    over the cluster straight after, before anything is computed on them. Spark holds an archive as
-    one value, so it must be under 2 GB; larger inputs should be Parquet or bzip2.
+    Every member of an archive is a partition of its own, inflated as a stream. A member does not
+    split, so its rows are spread over the cluster straight after.
     """
-    archives = spark.read.format("binaryFile").load(path).select("content")
+    spark.dataSource.register(zip_csv_source())
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    rows = archives.mapInPandas(_unzip_batches(schema), as_text).repartition(
-        spark.sparkContext.defaultParallelism
-    )
-    return rows.select([_typed(f) for f in schema])
+    rows = spark.read.format("zip_csv").schema(as_text).load(path)
+    return rows.repartition(spark.sparkContext.defaultParallelism).select([_typed(f) for f in schema])
+
+
+def write_zip_csv(df: DataFrame, path: str) -> None:
+    """Write a folder of archives, one per task with one CSV member, each under its name only once it is whole."""
+    names = df.columns
+    texts = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in names])
+    texts.mapInArrow(zip_writer(path, names), "written string").count()
 
 
 def write_table(df: DataFrame, path: str) -> None:
