@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilecast.llm.text import runs, utf8, whole_text
+from tilecast.llm.text import claim, runs, utf8, whole_text
 from tilecast.llm.words import WordIds, distinct, ranges, sums
 from tilecast.session import materialize
 
@@ -291,6 +291,7 @@ def spill(docs: DataFrame, ranks_file: str, pieces_file: str) -> DataFrame:
     most_records, most_documents = RECORDS, DOCUMENTS
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("alignment", tokenizers.cache_clear)
         both = tokenizers(ranks_file, pieces_file)
         number = TaskContext.get().partitionId() << 32
         block = Block(number, both.bits)

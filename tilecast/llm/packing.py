@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tilecast.llm.text import with_columns_after
+from tilecast.llm.text import runs, whole_text
 from tilecast.llm.tokens import word_encoder
+from tilecast.llm.words import ranges
 from tilecast.session import materialize
 
 #: Tokens in a sequence, steps of the grid in a sequence, and lengths in a pattern.
@@ -196,40 +197,36 @@ def cut_pieces(docs: DataFrame, file: str, sequence: int = SEQUENCE, end: int =
     ``chunk`` numbers the runs of pieces made together, ``place`` counts the pieces of one length
     inside it. The result must be written before use, since chunks depend on the task.
     """
-    names = [p.split()[0] for p in PIECES.split(", ")]
-
-    def work(texts, given):
-        ids, counts = word_encoder(file).encode_with(texts, end)
-        ids = ids.astype("<u4")
-        many = -(-counts // sequence)  # pieces of each text
-        ends = np.cumsum(many)
-        piece = np.arange(int(many.sum())) - np.repeat(ends - many, many)
-        begins = np.repeat(np.cumsum(counts) - counts, many) + piece * sequence
-        length = np.minimum(np.repeat(counts, many) - piece * sequence, sequence)
-        raw = [ids[b : b + n].tobytes() for b, n in zip(begins.tolist(), length.tolist(), strict=True)]
-        columns = [pa.array(piece, pa.int32()), pa.array(piece * sequence, pa.int64()), pa.array(length, pa.int64()),
-                   pa.array(list(map(zlib.crc32, raw)), pa.int64()), pa.array(raw if with_ids else [None] * len(raw), pa.binary())]
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.StructArray.from_arrays(columns, names[:5]))
-        return {"pieces": lists}
-
-    schema = "pieces array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint,ids:binary>>"
-    each = with_columns_after(docs, work, schema, keep=["doc_id"]).select("row.doc_id", F.explode("pieces").alias("p")).select("doc_id", "p.*")
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", *(p.split()[0] for p in PIECES.split(", "))]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, seen = TaskContext.get().partitionId(), np.zeros(sequence + 1, np.int64)
         for batch in batches:
-            lengths = np.asarray(batch.column("length").to_numpy(zero_copy_only=False))
-            order = np.argsort(lengths, kind="stable")
-            ordered = lengths[order]
-            first = np.searchsorted(ordered, ordered)
-            place = np.empty(len(lengths), np.int64)
-            place[order] = np.arange(len(lengths)) - first
-            place += seen[lengths]
-            seen += np.bincount(lengths, minlength=sequence + 1)
-            columns = [batch.column(c) for c in ["doc_id", *names[:5]]]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(lengths), chunk), pa.int64()), pa.array(place, pa.int64())], ["doc_id", *names])
-
-    return each.mapInArrow(number, f"doc_id {each.schema['doc_id'].dataType.simpleString()}, {PIECES}")
+            text = batch.column("text")
+            for lo, hi in runs(text):
+                ids, counts = word_encoder(file).encode_with(text.slice(lo, hi - lo), end)
+                ids = ids.astype("<u4")
+                many = -(-counts // sequence)  # pieces of each text
+                piece = ranges(np.zeros(len(many), np.int64), many)
+                start = piece * sequence
+                begins = np.repeat(np.cumsum(counts) - counts, many) + start
+                length = np.minimum(np.repeat(counts, many) - start, sequence)
+                raw = [ids[b : b + n].tobytes() for b, n in zip(begins.tolist(), length.tolist(), strict=True)]
+                # how many pieces of its length the chunk has before each one
+                order = np.argsort(length, kind="stable")
+                place = np.empty(len(length), np.int64)
+                place[order] = np.arange(len(length)) - np.searchsorted(length[order], length[order])
+                place += seen[length]
+                seen += np.bincount(length, minlength=sequence + 1)
+                doc = batch.column("doc_id").take(pa.array(lo + np.repeat(np.arange(len(many)), many)))
+                columns = [
+                    doc, pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(list(map(zlib.crc32, raw)), pa.int64()),
+                    pa.array(raw if with_ids else [None] * len(raw), pa.binary()), pa.array(np.full(len(length), chunk), pa.int64()), pa.array(place),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(cut, f"doc_id {kind}, {PIECES}")
 
 
 def pack(docs: DataFrame, file: str, sequence: int = SEQUENCE, with_ids: bool = False) -> DataFrame:

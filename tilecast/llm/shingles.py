@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from tilecast.llm.text import claim
+
 CACHED_WORDS = 200_000
 FAR = np.iinfo(np.int64).max
 
@@ -32,6 +34,7 @@ def shingle_set(text: str, size: int) -> np.ndarray:
 
     Words are runs without ASCII white space, A-Z in lower case.
     """
+    claim("shingles", _HASHES.clear)
     if len(_HASHES) > CACHED_WORDS:
         _HASHES.clear()
     words = text.encode().lower().split()

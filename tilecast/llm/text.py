@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import ctypes
+import gc
 import hashlib
 import io
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -84,6 +88,33 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[at[0] : at[-1]], at - at[0]
 
 
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def claim(name: str, clear: Callable[[], None]) -> None:
+    """Say whose cache this worker process fills; ``clear`` empties it.
+
+    Workers go on to other stages, and what an earlier stage cached is no use to them: the caches of
+    others are emptied, and freed memory is given back.
+    """
+    others = [n for n in _CACHES if n != name]
+    for n in others:
+        _CACHES.pop(n)()
+    if others:
+        give_back()
+    _CACHES[name] = clear
+
+
+def give_back() -> None:
+    """Return memory that Arrow and the C library hold but do not use."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def bounded_sample(rows: DataFrame, label: Column, key: Column, most: int) -> DataFrame:
     """About ``most`` rows of every label, at most, chosen by a hash of ``key``.
 
@@ -118,7 +149,9 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(held, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.writestr(zipfile.ZipInfo(str(p.relative_to(root.parent))), p.read_bytes())
-    path = Path(tempfile.mkdtemp(prefix="py-files-")) / f"tilecast_{hashlib.sha1(held.getvalue()).hexdigest()[:12]}.zip"
+    folder = tempfile.mkdtemp(prefix="py-files-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = Path(folder) / f"tilecast_{hashlib.sha1(held.getvalue()).hexdigest()[:12]}.zip"
     path.write_bytes(held.getvalue())
     sc.addPyFile(str(path))
     _SHIPPED[sc.applicationId] = str(path)

@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 import tiktoken
 from tokenizers import Tokenizer
 
+from tilecast.llm.text import claim
 from tilecast.llm.words import WordIds, distinct, ranges, sums
 
 #: How the vocabulary spells the end of a word: a fixed value. Here a zero byte stands for it.
@@ -112,6 +113,7 @@ class WordEncoder:
 
 def word_encoder(file: str) -> WordEncoder:
     """One encoder per worker process and file."""
+    claim("tokens", _OPEN.clear)
     if file not in _OPEN:
         _OPEN[file] = WordEncoder(file)
     return _OPEN[file]

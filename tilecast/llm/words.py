@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes that a cache may hold, about; then it starts again from the words of the run at hand.
-CACHE_BYTES = 48_000_000
+CACHE_BYTES = 40_000_000
 #: What a word costs in a dictionary besides its text: two objects, a slot, two numbers.
 ENTRY = 150
 
