@@ -9,8 +9,10 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
+_FOLDERS: set[str] = set()
 _RECORDS: list[list[str]] = []
 
 
@@ -76,14 +78,32 @@ def delete_tables(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """The application's part of the scratch folder, which goes when this Python process ends."""
+    folder = f"{scratch_dir(spark).rstrip('/')}/tilecast-{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_remove_folder, spark._jvm, spark._jsc.hadoopConfiguration(), folder)
+    return folder
+
+
+def _remove_folder(jvm, conf, folder: str) -> None:
+    try:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    except (Py4JError, OSError):  # the JVM is gone: its tables stay
+        pass
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
     Iterative fits read their input many times. A written table cuts the lineage, survives lost
-    executors, is read by column, and gives Catalyst true sizes to pick join strategies from.
+    executors, is read by column, and gives Catalyst true sizes to pick join strategies from. It is
+    there until ``delete_tables`` or the end of the process.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     for paths in _RECORDS[-1:]:
         paths.append(path)
