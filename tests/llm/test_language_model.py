@@ -120,7 +120,10 @@ def test_training_raises_the_likelihood():
 
 def test_counts_and_base_by_brute_force(spark, monkeypatch):
     monkeypatch.setattr(language_model, "BLOCK_WORDS", 3000)  # many blocks
-    docs = documents(spark)
+    monkeypatch.setattr(language_model, "FAN", 3)  # summed in several levels
+    monkeypatch.setattr(language_model, "SALT", 2)
+    monkeypatch.setattr(language_model, "RADIX_BYTES", 20_000)  # more radixes
+    docs = documents(spark).repartition(7)
     texts = {r.doc_id: [*r.text.encode().lower().split(), b""] for r in docs.collect()}
     held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in texts}
     c = Counter(w for d, t in texts.items() if not held[d] for w in t)
@@ -144,7 +147,7 @@ def test_copies_fill_blocks_of_few_tokens(spark, monkeypatch):
         if r.tokens is not None:
             tokens[r.block] += len(r.tokens) // r.width
     assert sorted(tokens.values()) == [32, *[48] * 6, 71]
-    assert sum(sum(r.counts) for r in found if r.words is not None) == 40 * 8 + 71
+    assert sum(int(language_model.opened(r.words, 3)[2].sum()) for r in found if r.radix >= 0) == 40 * 8 + 71
 
 
 def test_rounds_take_every_training_document(spark):

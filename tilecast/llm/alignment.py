@@ -36,13 +36,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
 import tiktoken
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilecast.llm.text import claim, runs, utf8, whole_text
-from tilecast.llm.words import WordIds, distinct, ranges, sums
+from tilecast.llm.words import WordIds, distinct, packed, ranges, sums, unpacked
 from tilecast.session import materialize
 
 #: A block closes at so many records or documents; its records are dealt to 2^RADIX_BITS radixes.
@@ -213,15 +212,6 @@ class Linked:
         self.texts, self.pairs = key[first] >> width, key[first] & ((1 << width) - 1)
 
 
-def packed(*columns: np.ndarray) -> bytes:
-    return zstandard.compress(b"".join(c.astype("<u8").tobytes() for c in columns), 1)
-
-
-def unpacked(frame: bytes, n: int) -> list[np.ndarray]:
-    flat = np.frombuffer(zstandard.decompress(frame), "<u8").astype(np.int64)
-    return list(flat.reshape(n, -1))
-
-
 def pair_frame(keys: np.ndarray, *columns: np.ndarray) -> bytes:
     """Ascending pairs as their differences, and what belongs to each."""
     return packed(np.diff(keys, prepend=0), *columns)

@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 
 from tilecast.llm import recurrent
 from tilecast.llm.text import fold
-from tilecast.session import materialize
+from tilecast.llm.words import packed, unpacked
+from tilecast.session import delete_tables, materialize, recorded
+
 
 def _signed(word: bytes) -> int:
     """A word's 64-bit hash, which stands for it in all counts."""
@@ -42,19 +44,27 @@ BLOCK_TOKENS = 4_000_000
 #: The word that ends every text; no word is empty.
 END = b""
 END_HASH = _signed(END)
-TOKENS = "block long, doc_id long, held_out boolean, width int, tokens binary, words array<bigint>, groups array<int>, counts array<bigint>"
+#: Runs of words summed at once, and runs that meet the sums of their radix in one task, about.
+FAN = SALT = 128
+#: Text bytes for each radix that words are dealt to by their hash, and the most bits of a radix.
+RADIX_BYTES, MOST_BITS = 64_000_000, 12
+#: What a row of a block is, unless it is the run of a radix.
+DOCUMENT, DICTIONARY = -2, -1
+TOKENS = "block long, radix int, doc_id long, held_out boolean, width int, tokens binary, words binary"
 
 
-def to_blocks(docs: DataFrame, held_out) -> DataFrame:
+def to_blocks(docs: DataFrame, held_out, bits: int = 4) -> DataFrame:
     """Whole texts as numbers of words, in blocks of documents with a dictionary each.
 
-    Rows of documents have ``tokens`` (unsigned, of ``width`` bytes), one row per block has its
-    ``words`` (hashes), their groups and their counts in training documents. A block closes before its dictionary outgrows
-    two-byte numbers or its tokens outgrow BLOCK_TOKENS; a document with more than that is a block of its own.
+    Rows of radix DOCUMENT have ``tokens`` (unsigned, of ``width`` bytes). The row of radix DICTIONARY
+    has the block's ``words`` in the order of their numbers: hashes, groups. Rows of the other radixes,
+    the upper ``bits`` of a hash, have its words in ascending order: hashes, groups, and counts in
+    training documents. A block closes before its dictionary outgrows two-byte numbers or its tokens
+    outgrow BLOCK_TOKENS; a document with more than that is a block of its own.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), held_out.alias("held_out"))
     names = [c.split()[0] for c in TOKENS.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, number, held, size = TaskContext.get().partitionId() << 32, {END: 0}, [], 0
@@ -65,13 +75,16 @@ def to_blocks(docs: DataFrame, held_out) -> DataFrame:
             for _, out, ids in held:
                 if not out:
                     counts += np.bincount(ids, minlength=len(number))
-            n = len(held)
-            columns = [
-                [block] * (n + 1), [d for d, _, _ in held] + [None], [o for _, o, _ in held] + [None], [width] * (n + 1),
-                [ids.astype(f"<u{width}").tobytes() for _, _, ids in held] + [None],
-                [None] * n + [[_signed(w) for w in number]],
-                [None] * n + [[zlib.crc32(w[-2:]) % GROUPS for w in number]], [None] * n + [counts.tolist()],
-            ]
+            hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), np.uint64, len(number))
+            kins = np.fromiter((zlib.crc32(w[-2:]) % GROUPS for w in number), np.int64, len(number))
+            order = np.argsort(hashes)
+            radix = (hashes[order] >> np.uint64(64 - bits)).astype(np.int64)
+            rows = [(block, DOCUMENT, d, o, width, ids.astype(f"<u{width}").tobytes(), None) for d, o, ids in held]
+            rows.append((block, DICTIONARY, None, None, None, None, packed(hashes, kins)))
+            for r in np.unique(radix).tolist():
+                own = order[slice(*np.searchsorted(radix, [r, r + 1]))]
+                rows.append((block, r, None, None, None, None, packed(hashes[own], kins[own], counts[own])))
+            columns = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
         for batch in batches:
@@ -89,56 +102,137 @@ def to_blocks(docs: DataFrame, held_out) -> DataFrame:
     return rows.mapInArrow(run, TOKENS)
 
 
+def opened(words: bytes, columns: int) -> list[np.ndarray]:
+    """Hashes, groups, and counts if there are any."""
+    hashes, *rest = unpacked(words, columns)
+    return [hashes.view(np.uint64), *rest]
+
+
+def summed(runs: list[bytes]) -> list[np.ndarray]:
+    """The distinct words of all runs, ascending: hashes, groups, and counts added up."""
+    hashes, kins, counts = (np.concatenate(c) for c in zip(*(opened(r, 3) for r in runs), strict=True))
+    order = np.argsort(hashes, kind="stable")
+    hashes, kins, counts = hashes[order], kins[order], counts[order]
+    first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    return [hashes[first], kins[first], np.add.reduceat(counts, first)]
+
+
+def word_counts(blocks: DataFrame, n_blocks: int) -> DataFrame:
+    """radix, words: the whole corpus's words of each radix. FAN runs are summed at a time."""
+    def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        whole = packed(*summed(table["words"].to_pylist()))
+        return pa.table([[key[0].as_py()], [key[1].as_py()], [whole]], schema=pa.schema([("radix", pa.int32()), ("run", pa.int64()), ("words", pa.binary())]))
+
+    level = blocks.filter("radix >= 0").select("radix", F.col("block").alias("run"), "words")
+    while n_blocks > 1:
+        n_blocks = -(-n_blocks // FAN)
+        level = level.withColumn("run", F.pmod(F.xxhash64("run"), F.lit(n_blocks)))
+        level = materialize(level.groupBy("radix", "run").applyInArrow(add, "radix int, run bigint, words binary"), "words")
+    return level.select("radix", "words")
+
+
+def frequencies(counts: DataFrame) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray, int, int]:
+    """Head words with their counts, commonest first; tokens and distinct words of each group without
+    them; all tokens and distinct words. Each radix sends its commonest words and a row per group."""
+    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words in batch.column("words").to_pylist():
+                hashes, kins, n = opened(words, 3)
+                hashes = hashes.view(np.int64)
+                best = np.lexsort((hashes, -n))[:HEADS]
+                best = np.union1d(best[n[best] > 0], np.flatnonzero(hashes == END_HASH))
+                of = np.bincount(kins, n, GROUPS).astype(np.int64), np.bincount(kins, n > 0, GROUPS).astype(np.int64)
+                columns = [
+                    [*hashes[best].tolist(), *[None] * GROUPS], [*kins[best].tolist(), *range(GROUPS)],
+                    [*n[best].tolist(), *of[0].tolist()], [*[None] * len(best), *of[1].tolist()],
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["word", "kin", "n", "v"])
+
+    found = materialize(counts.mapInArrow(common, "word bigint, kin bigint, n bigint, v bigint"), "frequencies")
+    words = found.filter("word is not null")
+    top = words.filter(F.col("word") != END_HASH).orderBy(F.desc("n"), "word").limit(HEADS - 1)
+    chosen = [(r.word, r.kin, r.n) for r in top.unionByName(words.filter(F.col("word") == END_HASH)).collect()]
+    groups = found.filter("word is null").groupBy("kin").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
+    tokens, distinct = np.zeros(GROUPS, np.int64), np.zeros(GROUPS, np.int64)
+    for r in groups:
+        tokens[r.kin], distinct[r.kin] = r.n, r.v
+    total, known = int(tokens.sum()), int(distinct.sum())
+    for _, kin, n in chosen:
+        tokens[kin] -= n
+        distinct[kin] -= n > 0
+    heads = sorted(((w, n) for w, _, n in chosen), key=lambda r: (-r[1], r[0])) or [(END_HASH, 0)]
+    return heads, tokens, distinct, total, known
+
+
 def to_streams(docs: DataFrame, held_out) -> tuple[DataFrame, recurrent.Layout, np.ndarray, int]:
     """Every document as symbols, with what does not depend on the recurrent model.
 
     doc_id, held_out, n_tokens, n_known, base_score, group_score (log10 of the words inside their
     groups), stream (two-byte symbols). Also the layout, the symbols' counts and the number of
-    training tokens. Words are counted per block, then summed by Spark; only the HEADS commonest and
-    a row per group reach the driver.
+    training tokens. Words cross the shuffles packed, a row per block and radix: to be counted there, to
+    meet the counts of all blocks again, and back to their block as counts alone.
     """
-    blocks = materialize(to_blocks(docs, held_out), "word-blocks")
-    each = blocks.filter("words is not null").select("block", F.posexplode(F.arrays_zip("words", "groups", "counts")).alias("place", "w")).select(
-        "block", "place", F.col("w.words").alias("word"), F.col("w.groups").alias("kin"), F.col("w.counts").alias("n")
-    )
-    counted = each.groupBy("word").agg(F.sum("n").alias("c"), F.first("kin").alias("kin"))
-    spark = docs.sparkSession
-    words = materialize(counted, "words")
-    top = words.filter((F.col("c") > 0) & (F.col("word") != END_HASH)).orderBy(F.desc("c"), "word").limit(HEADS - 1)
-    end = words.filter(F.col("word") == END_HASH)
-    heads = sorted(((r.word, r.c) for r in top.unionByName(end).collect()), key=lambda r: (-r[1], r[0])) or [(END_HASH, 0)]
-    head_table = spark.createDataFrame([(w, i) for i, (w, _) in enumerate(heads)], "word long, head int")
-    known = words.join(F.broadcast(head_table), "word", "left").select("word", "c", F.coalesce("head", F.col("kin") + len(heads)).alias("symbol"))
-
-    groups = {r.symbol: r for r in known.groupBy("symbol").agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).collect()}
-    total = sum(r.n for r in groups.values())
-    distinct = sum(r.v for r in groups.values())
-    symbols = len(heads) + GROUPS
-    counts = np.array([groups[s].n if s in groups else 0 for s in range(symbols)], np.float64)
-    inside = np.array([counts[s] + (groups[s].v if s in groups else 0) + 1 for s in range(symbols)])
-    mass = np.cumsum(np.sqrt(counts[: len(heads)] + 1))
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    bits = min(MOST_BITS, max(4, int(size // RADIX_BYTES).bit_length()))
+    with recorded() as written:
+        blocks = materialize(to_blocks(docs, held_out, bits), "word-blocks")
+        n_blocks = blocks.filter(F.col("radix") == DICTIONARY).count()
+        counts = word_counts(blocks, n_blocks + 1)
+        heads, tokens, distinct, total, known = frequencies(counts)
+        streams, layout, symbols = _streams(blocks, counts, n_blocks, heads, tokens, distinct, total, known)
+        streams = materialize(streams, "streams")
+        last = written.pop()
+        delete_tables(docs.sparkSession, written)
+        written.append(last)
+    return streams, layout, symbols, total
+
+
+def _streams(blocks, counts, n_blocks, heads, tokens, distinct, total, known) -> tuple[DataFrame, recurrent.Layout, np.ndarray]:
+    symbols = np.concatenate([[n for _, n in heads], tokens]).astype(np.float64)
+    inside = symbols + np.concatenate([np.zeros(len(heads)), distinct]) + 1
+    mass = np.cumsum(np.sqrt(symbols[: len(heads)] + 1))
     cuts = np.searchsorted(mass, np.linspace(0, mass[-1], HEAD_CLASSES + 1)[1:-1])
     layout = recurrent.Layout(sorted({0, *(int(c) for c in cuts), len(heads)}), GROUPS)
-
-    def build(left: pa.Table, right: pa.Table) -> pa.Table:
-        place = right.column("place").to_numpy()
-        c, symbol = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
-        c[place], symbol[place] = right.column("c").to_numpy(), right.column("symbol").to_numpy()
-        base = np.log10((c + 1) / (total + distinct + 1))
-        rare = np.where(symbol >= len(heads), np.log10((c + 1) / inside[symbol]), 0.0)
-        rows = []
-        for doc, out, width, tokens in zip(*(left.column(k).to_pylist() for k in ("doc_id", "held_out", "width", "tokens")), strict=True):
-            ids = np.frombuffer(tokens, f"<u{width}").astype(np.int64)
-            rows.append((doc, out, len(ids), int((c[ids] > 0).sum()), float(base[ids].sum()), float(rare[ids].sum()), symbol[ids].astype("<u2").tobytes()))
+    head_words = np.array([w for w, _ in heads], np.int64)
+    place = np.argsort(head_words)
+
+    salts = max(1, -(-n_blocks // SALT))
+    salt = F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt")
+    own = blocks.filter("radix >= 0").select("block", "radix", salt, "words")
+    spread = counts.select("radix", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "words")
+
+    def answer(key: tuple[pa.Scalar, ...], mine: pa.Table, all_: pa.Table) -> pa.Table:
+        found = []
+        if mine.num_rows:
+            hashes, _, n = opened(all_["words"][0].as_py(), 3)
+            found = [packed(n[np.searchsorted(hashes, opened(w, 3)[0])]) for w in mine["words"].to_pylist()]
+        return pa.table([mine["block"].combine_chunks(), mine["radix"].combine_chunks(), pa.array(found, pa.binary())], names=["block", "radix", "n"])
+
+    answers = own.groupBy("radix", "salt").cogroup(spread.groupBy("radix", "salt")).applyInArrow(answer, "block long, radix int, n binary")
+
+    def build(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = left.filter(pc.equal(left["radix"], DOCUMENT))
+        words = left.filter(pc.equal(left["radix"], DICTIONARY))["words"][0].as_py()
+        hashes, kins = opened(words, 2)
+        c = np.empty(len(hashes), np.int64)
+        in_order = right.sort_by("radix")["n"].to_pylist()  # ascending radixes are ascending hashes
+        c[np.argsort(hashes)] = np.concatenate([unpacked(n, 1)[0] for n in in_order])
+        spot = np.minimum(np.searchsorted(head_words[place], hashes.view(np.int64)), len(place) - 1)
+        head = head_words[place][spot] == hashes.view(np.int64)
+        symbol = np.where(head, place[spot], len(heads) + kins)
+        base = np.log10((c + 1) / (total + known + 1))
+        rare = np.where(head, 0.0, np.log10((c + 1) / inside[symbol]))
+        out = []
+        for doc, held, width, numbers in zip(*(rows[k].to_pylist() for k in ("doc_id", "held_out", "width", "tokens")), strict=True):
+            ids = np.frombuffer(numbers, f"<u{width}").astype(np.int64)
+            out.append((doc, held, len(ids), int((c[ids] > 0).sum()), float(base[ids].sum()), float(rare[ids].sum()), symbol[ids].astype("<u2").tobytes()))
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
-        return pa.table({n: pa.array([r[k] for r in rows], kind) for k, (n, kind) in enumerate(zip(names, kinds, strict=True))})
+        return pa.table({n: pa.array([r[k] for r in out], kind) for k, (n, kind) in enumerate(zip(names, kinds, strict=True))})
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, group_score double, stream binary"
     names = [c.split()[0] for c in schema.split(", ")]
-    found = each.select(F.col("block").alias("home"), "place", "word").join(known, "word").select("home", "place", "c", "symbol")
-    texts = blocks.filter("tokens is not null").select("block", "doc_id", "held_out", "width", "tokens")
-    streams = texts.groupBy("block").cogroup(found.groupBy("home")).applyInArrow(build, schema)
-    return materialize(streams, "streams"), layout, counts, int(total)
+    texts = blocks.filter("radix < 0")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(build, schema), layout, symbols
 
 
 def gathered(batches: Iterator[pa.RecordBatch], most: int = 8_000_000) -> Iterator[pa.Table]:
@@ -200,6 +294,9 @@ def train_round(streams: DataFrame, layout: recurrent.Layout, weights: dict[str,
 def score_texts(docs: DataFrame, held_out=None, share: int = SHARE, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``.
 
+    Repeated rows are scored each; an empty table gives no rows; without a training document all words
+    are unseen and the model is as it began. Only doc_id and text are read, so no other column can clash.
+
     ``held_out`` is the column of documents not to learn from. Null texts are empty: one token, the
     end. Scores are log10 probabilities of whole texts, however long. Words never seen in training
     share one unseen word of their group, as they share one in the base score.

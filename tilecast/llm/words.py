@@ -7,6 +7,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 
 #: Bytes that a cache may hold, about; then it starts again from the words of the run at hand.
 CACHE_BYTES = 40_000_000
@@ -81,3 +82,14 @@ def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(values)])
     ends = np.cumsum(counts)
     return total[ends] - total[ends - counts]
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Integer columns of one length as a zstd frame."""
+    return zstandard.compress(b"".join(c.astype("<u8").tobytes() for c in columns), 1)
+
+
+def unpacked(frame: bytes, n: int) -> list[np.ndarray]:
+    """The ``n`` columns of a frame, as signed 64-bit integers."""
+    flat = np.frombuffer(zstandard.decompress(frame), "<u8").astype(np.int64)
+    return list(flat.reshape(n, -1))
