@@ -239,8 +239,11 @@ def decode_bpe(encoded: DataFrame, file: str) -> DataFrame:
 
 
 def bpe_digest(docs: DataFrame, file: str) -> DataFrame:
-    """What op7 returns: encode, decode, and hash both."""
+    """What op7 returns: encode, decode, and hash both.
 
+    Null and empty texts have no ids and decode to nothing; very long texts are encoded whole; repeated
+    rows are rows of their own; an empty table gives no rows. Rows travel in a struct, so no column can clash.
+    """
     read = decode_bpe(encode_bpe(docs, file, ["doc_id"]), file)
     return read.select(
         "row.doc_id",

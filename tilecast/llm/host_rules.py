@@ -120,7 +120,12 @@ def judge(docs: DataFrame, keep: list[str] | None = None, limit: float = LIMIT)
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
-    """What op5 returns, for every row of ``docs``."""
+    """What op5 returns, for every row of ``docs``.
+
+    Null and empty texts have no words and fail; rows without a host are one host together. Repeated
+    rows count each, in their host's rates, too, and get the same verdict; very long texts are measured
+    whole. An empty table gives no rows. Rows travel in a struct, so no column can clash.
+    """
     found = judge(docs, ["doc_id", "source"])
     return found.select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -128,5 +133,5 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass."""
+    """The rows of ``docs`` that pass, with their columns; odd rows as in ``quality_rules``."""
     return judge(docs).filter("kept").select("row.*")

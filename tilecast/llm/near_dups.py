@@ -242,6 +242,10 @@ def duplicate_digest(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Rows of ``docs`` but those whose document has a smaller near-duplicate."""
+    """Rows of ``docs`` but those whose document has a smaller near-duplicate.
+
+    Texts without a word are linked with nothing and stay, as do rows without an id; rows that repeat a
+    doc_id go or stay together.
+    """
     gone = near_duplicates(docs, words, percent).filter(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -269,5 +269,5 @@ def pack(docs: DataFrame, file: str, sequence: int = SEQUENCE, with_ids: bool =
 
 
 def packing_digest(docs: DataFrame, file: str, sequence: int = SEQUENCE) -> DataFrame:
-    """What op10 returns."""
+    """What op10 returns; odd rows as in ``pack``. An empty table gives no pieces."""
     return pack(docs, file, sequence).drop("ids")

@@ -193,7 +193,13 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5
 
 
 def detect(docs: DataFrame, labels: DataFrame, per_label: int = 6000) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_offending of every row of ``docs``."""
+    """doc_id, held_out, score, predicted, n_offending of every row of ``docs``.
+
+    Null, empty and letterless texts have no sentence and the score of none; a very long text is scored
+    by all its sentences. Repeated rows are scored each. An empty table gives no rows, and without
+    labelled rows every score is that of a model that knows nothing. No other column than doc_id and
+    text is read, so none can clash.
+    """
     model = fit_toxicity(docs, labels.filter(fold("doc_id", 5) != 0), per_label)
     found = score_toxicity(docs, model, keep=["doc_id"]).select("row.doc_id", "score", F.size("offending").cast("bigint").alias("n_offending"))
     return found.select(
