@@ -147,7 +147,7 @@ def test_copies_fill_blocks_of_few_tokens(spark, monkeypatch):
         if r.tokens is not None:
             tokens[r.block] += len(r.tokens) // r.width
     assert sorted(tokens.values()) == [32, *[48] * 6, 71]
-    assert sum(int(language_model.opened(r.words, 3)[2].sum()) for r in found if r.radix >= 0) == 40 * 8 + 71
+    assert sum(int(language_model.opened(r.words)[2].sum()) for r in found if r.radix >= 0) == 40 * 8 + 71
 
 
 def test_rounds_take_every_training_document(spark):

@@ -49,17 +49,16 @@ FAN = SALT = 128
 #: Text bytes for each radix that words are dealt to by their hash, and the most bits of a radix.
 RADIX_BYTES, MOST_BITS = 64_000_000, 12
 #: What a row of a block is, unless it is the run of a radix.
-DOCUMENT, DICTIONARY = -2, -1
+DOCUMENT = -1
 TOKENS = "block long, radix int, doc_id long, held_out boolean, width int, tokens binary, words binary"
 
 
 def to_blocks(docs: DataFrame, held_out, bits: int = 4) -> DataFrame:
     """Whole texts as numbers of words, in blocks of documents with a dictionary each.
 
-    Rows of radix DOCUMENT have ``tokens`` (unsigned, of ``width`` bytes). The row of radix DICTIONARY
-    has the block's ``words`` in the order of their numbers: hashes, groups. Rows of the other radixes,
-    the upper ``bits`` of a hash, have its words in ascending order: hashes, groups, and counts in
-    training documents. A block closes before its dictionary outgrows two-byte numbers or its tokens
+    Rows of radix DOCUMENT have ``tokens`` (unsigned, of ``width`` bytes). Rows of the other radixes, the
+    upper ``bits`` of a hash, have its ``words`` in the order of their numbers, which is that of their
+    hashes: hashes, groups, and counts in training documents. A block closes before its dictionary outgrows two-byte numbers or its tokens
     outgrow BLOCK_TOKENS; a document with more than that is a block of its own.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), held_out.alias("held_out"))
@@ -78,12 +77,13 @@ def to_blocks(docs: DataFrame, held_out, bits: int = 4) -> DataFrame:
             hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), np.uint64, len(number))
             kins = np.fromiter((zlib.crc32(w[-2:]) % GROUPS for w in number), np.int64, len(number))
             order = np.argsort(hashes)
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
             radix = (hashes[order] >> np.uint64(64 - bits)).astype(np.int64)
-            rows = [(block, DOCUMENT, d, o, width, ids.astype(f"<u{width}").tobytes(), None) for d, o, ids in held]
-            rows.append((block, DICTIONARY, None, None, None, None, packed(hashes, kins)))
+            rows = [(block, DOCUMENT, d, o, width, rank[ids].astype(f"<u{width}").tobytes(), None) for d, o, ids in held]
             for r in np.unique(radix).tolist():
                 own = order[slice(*np.searchsorted(radix, [r, r + 1]))]
-                rows.append((block, r, None, None, None, None, packed(hashes[own], kins[own], counts[own])))
+                rows.append((block, r, None, None, None, None, closed(hashes[own], kins[own], counts[own])))
             columns = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -102,15 +102,20 @@ def to_blocks(docs: DataFrame, held_out, bits: int = 4) -> DataFrame:
     return rows.mapInArrow(run, TOKENS)
 
 
-def opened(words: bytes, columns: int) -> list[np.ndarray]:
-    """Hashes, groups, and counts if there are any."""
-    hashes, *rest = unpacked(words, columns)
-    return [hashes.view(np.uint64), *rest]
+def closed(hashes: np.ndarray, kins: np.ndarray, counts: np.ndarray) -> bytes:
+    """Words in ascending order, their hashes as differences."""
+    return packed(np.diff(hashes, prepend=np.uint64(0)), kins, counts)
+
+
+def opened(words: bytes) -> list[np.ndarray]:
+    """Hashes, groups and counts."""
+    hashes, kins, counts = unpacked(words, 3)
+    return [np.cumsum(hashes.view(np.uint64)), kins, counts]
 
 
 def summed(runs: list[bytes]) -> list[np.ndarray]:
     """The distinct words of all runs, ascending: hashes, groups, and counts added up."""
-    hashes, kins, counts = (np.concatenate(c) for c in zip(*(opened(r, 3) for r in runs), strict=True))
+    hashes, kins, counts = (np.concatenate(c) for c in zip(*(opened(r) for r in runs), strict=True))
     order = np.argsort(hashes, kind="stable")
     hashes, kins, counts = hashes[order], kins[order], counts[order]
     first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
@@ -120,7 +125,7 @@ def summed(runs: list[bytes]) -> list[np.ndarray]:
 def word_counts(blocks: DataFrame, n_blocks: int) -> DataFrame:
     """radix, words: the whole corpus's words of each radix. FAN runs are summed at a time."""
     def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        whole = packed(*summed(table["words"].to_pylist()))
+        whole = closed(*summed(table["words"].to_pylist()))
         return pa.table([[key[0].as_py()], [key[1].as_py()], [whole]], schema=pa.schema([("radix", pa.int32()), ("run", pa.int64()), ("words", pa.binary())]))
 
     level = blocks.filter("radix >= 0").select("radix", F.col("block").alias("run"), "words")
@@ -137,7 +142,7 @@ def frequencies(counts: DataFrame) -> tuple[list[tuple[int, int]], np.ndarray, n
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words in batch.column("words").to_pylist():
-                hashes, kins, n = opened(words, 3)
+                hashes, kins, n = opened(words)
                 hashes = hashes.view(np.int64)
                 best = np.lexsort((hashes, -n))[:HEADS]
                 best = np.union1d(best[n[best] > 0], np.flatnonzero(hashes == END_HASH))
@@ -176,7 +181,7 @@ def to_streams(docs: DataFrame, held_out) -> tuple[DataFrame, recurrent.Layout,
     bits = min(MOST_BITS, max(4, int(size // RADIX_BYTES).bit_length()))
     with recorded() as written:
         blocks = materialize(to_blocks(docs, held_out, bits), "word-blocks")
-        n_blocks = blocks.filter(F.col("radix") == DICTIONARY).count()
+        n_blocks = blocks.filter("radix >= 0").select("block").distinct().count()
         counts = word_counts(blocks, n_blocks + 1)
         heads, tokens, distinct, total, known = frequencies(counts)
         streams, layout, symbols = _streams(blocks, counts, n_blocks, heads, tokens, distinct, total, known)
@@ -204,26 +209,24 @@ def _streams(blocks, counts, n_blocks, heads, tokens, distinct, total, known) ->
     def answer(key: tuple[pa.Scalar, ...], mine: pa.Table, all_: pa.Table) -> pa.Table:
         found = []
         if mine.num_rows:
-            hashes, _, n = opened(all_["words"][0].as_py(), 3)
-            found = [packed(n[np.searchsorted(hashes, opened(w, 3)[0])]) for w in mine["words"].to_pylist()]
-        return pa.table([mine["block"].combine_chunks(), mine["radix"].combine_chunks(), pa.array(found, pa.binary())], names=["block", "radix", "n"])
+            hashes, kins, n = opened(all_["words"][0].as_py())
+            spot = np.minimum(np.searchsorted(head_words[place], hashes.view(np.int64)), len(place) - 1)
+            head = head_words[place][spot] == hashes.view(np.int64)
+            symbol = np.where(head, place[spot], len(heads) + kins)
+            for words in mine["words"].to_pylist():
+                at = np.searchsorted(hashes, opened(words)[0])
+                found.append(packed(n[at], symbol[at]))
+        return pa.table([mine["block"].combine_chunks(), mine["radix"].combine_chunks(), pa.array(found, pa.binary())], names=["block", "radix", "known"])
 
-    answers = own.groupBy("radix", "salt").cogroup(spread.groupBy("radix", "salt")).applyInArrow(answer, "block long, radix int, n binary")
+    answers = own.groupBy("radix", "salt").cogroup(spread.groupBy("radix", "salt")).applyInArrow(answer, "block long, radix int, known binary")
 
     def build(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = left.filter(pc.equal(left["radix"], DOCUMENT))
-        words = left.filter(pc.equal(left["radix"], DICTIONARY))["words"][0].as_py()
-        hashes, kins = opened(words, 2)
-        c = np.empty(len(hashes), np.int64)
-        in_order = right.sort_by("radix")["n"].to_pylist()  # ascending radixes are ascending hashes
-        c[np.argsort(hashes)] = np.concatenate([unpacked(n, 1)[0] for n in in_order])
-        spot = np.minimum(np.searchsorted(head_words[place], hashes.view(np.int64)), len(place) - 1)
-        head = head_words[place][spot] == hashes.view(np.int64)
-        symbol = np.where(head, place[spot], len(heads) + kins)
+        in_order = right.sort_by("radix")["known"].to_pylist()  # ascending radixes are ascending numbers
+        c, symbol = (np.concatenate(x) for x in zip(*(unpacked(k, 2) for k in in_order), strict=True))
         base = np.log10((c + 1) / (total + known + 1))
-        rare = np.where(head, 0.0, np.log10((c + 1) / inside[symbol]))
+        rare = np.where(symbol < len(heads), 0.0, np.log10((c + 1) / inside[symbol]))
         out = []
-        for doc, held, width, numbers in zip(*(rows[k].to_pylist() for k in ("doc_id", "held_out", "width", "tokens")), strict=True):
+        for doc, held, width, numbers in zip(*(left[k].to_pylist() for k in ("doc_id", "held_out", "width", "tokens")), strict=True):
             ids = np.frombuffer(numbers, f"<u{width}").astype(np.int64)
             out.append((doc, held, len(ids), int((c[ids] > 0).sum()), float(base[ids].sum()), float(rare[ids].sum()), symbol[ids].astype("<u2").tobytes()))
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
@@ -231,7 +234,7 @@ def _streams(blocks, counts, n_blocks, heads, tokens, distinct, total, known) ->
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, group_score double, stream binary"
     names = [c.split()[0] for c in schema.split(", ")]
-    texts = blocks.filter("radix < 0")
+    texts = blocks.filter(F.col("radix") == DOCUMENT).select("block", "doc_id", "held_out", "width", "tokens")
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(build, schema), layout, symbols
 
 
