@@ -19,8 +19,8 @@ SUBSETS, DIGITS = 16, 8
 GAP = "-" * DIGITS
 #: The band: at least this share of all documents has the term, and at most that one.
 LEAST_SHARE, MOST_SHARE = 0.0005, 0.01
-#: Documents whose neighbours are found together, and code points that order documents of one id.
-BLOCK_ROWS, HEAD = 1000, 64
+#: Documents whose neighbours are found together, about, and blocks of them, at most.
+BLOCK_ROWS, MOST_BLOCKS = 1000, 1024
 #: A lexicon of up to so many terms is broadcast, about 100 bytes each.
 BROADCAST_TERMS = 500_000
 
@@ -71,44 +71,46 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).when(both & (used > 0), same / used).otherwise(0.0)
 
 
-def in_blocks(texts: DataFrame, partitions: int | None = None) -> DataFrame:
-    """``texts`` with ``place``, which ascends with doc_id, and ``block``: BLOCK_ROWS rows, or fewer, that follow one another.
+def add_block(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``hash``, of the text, and ``block``, which ascends with (doc_id, hash): about BLOCK_ROWS rows each.
 
-    ``before`` is set on the first row of each block, and names the block before it (the last one, for
-    the first row of all). Null ids come first; rows of one id go by their text's head and a hash. Rows
-    are dealt by ranges of all that, so neither close ids nor one id for many rows make a large block.
-    Ranges are counted, too, so their number is given here and not left to be adapted.
+    Blocks end at quantiles of doc_id, one array of at most MOST_BLOCKS numbers, so neither far nor close
+    ids make a large one. An id that several quantiles fall on has as many blocks, which its rows are
+    dealt to by ranges of the hash, and so are rows without an id, which come first.
     """
-    if partitions is None:
-        partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["doc_id", "head", "hash", "at"]
-    keyed = texts.withColumns(
-        {"head": F.substring("text", 1, HEAD), "hash": F.xxhash64("text"), "at": F.monotonically_increasing_id()}
-    )
-    ranges = keyed.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-    # the number's upper bits are the range, the lower 33 count its rows
-    placed = ranges.drop("head", "hash", "at").withColumn("place", F.monotonically_increasing_id())
-    range_, row = F.shiftright("place", 33), F.expr(f"place & {(1 << 33) - 1}L")
-    block = F.expr(f"place - (place & {(1 << 33) - 1}L) % {BLOCK_ROWS}")
-    ends = placed.groupBy(range_.alias("range")).agg(F.max(block).alias("last"))  # a row for every range
-    all_ = Window.orderBy("range")
-    wrapped = ends.agg(F.max("last").alias("last")).scalar()
-    ends = ends.select("range", F.coalesce(F.lag("last").over(all_), wrapped).alias("range_before"))
-    placed = placed.withColumns({"block": block, "range": range_, "row": row})
-    before = F.when(F.col("row") == 0, F.col("range_before")).when(F.col("row") % BLOCK_ROWS == 0, F.col("block") - BLOCK_ROWS)
-    return placed.join(F.broadcast(ends), "range").select(*texts.columns, "place", "block", before.alias("before"))
-
-
-def with_next(rows: DataFrame, value: str) -> DataFrame:
-    """``rows`` with ``next``: the following row's ``value``. The last row is followed by the first.
-
-    One shuffle on block. The first row of each block is sent to the block before it, too.
+    n, nulls = docs.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    count, spare = (min(MOST_BLOCKS, -(-rows // BLOCK_ROWS)) for rows in (n, nulls))
+    shares = [k / count for k in range(count)] or [0.0]
+    (found,) = docs.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * count))).first()
+    limits = F.array(*[F.lit(int(x)) for x in found or []]).cast("array<bigint>")
+    below = F.size(F.filter(limits, lambda x: x < F.col("doc_id")))
+    equal = F.size(F.filter(limits, lambda x: x == F.col("doc_id")))
+    share = F.col("hash") / 2.0**64 + 0.5  # of all hashes, from 0 up to 1
+    nth = F.least(F.floor(share * F.col("equal")), F.col("equal") - 1)
+    own = F.col("below") + F.when(F.col("equal") > 0, nth + 1).otherwise(0)
+    block = F.when(F.col("doc_id").isNull(), F.least(F.floor(share * spare), F.lit(spare - 1)) - spare).otherwise(own)
+    hashed = docs.withColumn("hash", F.xxhash64("text")).withColumns({"below": below, "equal": equal})
+    return hashed.withColumn("block", block.cast("bigint")).drop("below", "equal")
+
+
+def next_of_each(rows: DataFrame, order: list[str], value: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with ``place`` (from 1, in the block) and ``next``, the following row's ``value``.
+
+    In two frames: all rows but the last of each block, which find the next inside their block, and
+    the last ones, which are joined with the first row of the next block (the last block's with the
+    first one's). ``value`` is never null. One shuffle on block; what crosses blocks is a row each.
     """
-    there = F.struct(F.col("block").alias("group"), F.lit(False).alias("again"))
-    copy = F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("group"), F.lit(True).alias("again")))
-    sent = rows.select("*", F.inline(F.array_compact(F.array(there, copy))))
-    following = F.lead(value).over(Window.partitionBy("group").orderBy("again", "place"))
-    return sent.withColumn("next", following).filter(~F.col("again")).drop("group", "again")
+    inside = Window.partitionBy("block").orderBy(*order)
+    seen = rows.withColumns({"place": F.row_number().over(inside), "next": F.lead(value).over(inside)})
+    first = seen.filter("place = 1").select(F.col("block").alias("next_block"), F.col(value).alias("first_value"))
+    blocks = rows.groupBy("block").agg(F.count("*").alias("n"))
+    first_block = blocks.agg(F.min("block").alias("b")).first().b
+    follow = blocks.select("block", F.coalesce(F.lead("block").over(Window.orderBy("block")), F.lit(first_block)).alias("next_block"))
+    last = (
+        seen.filter("next is null").drop("next").join(follow, "block").join(first, "next_block")
+        .withColumnRenamed("first_value", "next").drop("next_block")
+    )
+    return seen.filter("next is not null"), last
 
 
 def imatch(docs: DataFrame) -> DataFrame:
@@ -116,10 +118,10 @@ def imatch(docs: DataFrame) -> DataFrame:
 
     The edited text has its last floor(n / 2) code points replaced by the first as many of the next
     document's text, by doc_id; the last document is followed by the first. Null texts are empty,
-    null ids come first, repeated ids follow one another by their first code points and a hash. An
-    empty table gives no rows. Only doc_id and text are read, so no other column can clash.
-    The texts are shuffled by ranges of ids, and on blocks of those; terms and fingerprints of a text
-    are made where it is then. Terms are shuffled for their document frequency, and with a lexicon too
+    null ids come first, repeated ids follow one another by a hash of the text. An empty table gives no
+    rows. Only doc_id and text are read, so no other column can clash.
+    The texts are shuffled once, on blocks of ids; terms and fingerprints of a text are made where it
+    is then. Terms are shuffled for their document frequency, and with a lexicon too
     large to broadcast to meet it.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -132,7 +134,7 @@ def imatch(docs: DataFrame) -> DataFrame:
             stand_in = known.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(None).cast("bigint").alias("code"))
             return rows.join(F.broadcast(known.unionByName(stand_in)), "term")
         # the empty term is in every text: each one goes to a place of its own
-        spread = rows.withColumn("key", F.when(F.col("term") == "", F.concat(F.lit("-"), F.col("place"))).otherwise(F.col("term")))
+        spread = rows.withColumn("key", F.when(F.col("term") == "", F.concat_ws("-", F.lit(""), F.col("block").cast("string"), F.col("place").cast("string"))).otherwise(F.col("term")))
         found = spread.join(known.withColumnRenamed("term", "key"), "key", "left")
         return found.filter((F.col("term") == "") | F.col("code").isNotNull()).drop("key")
 
@@ -143,26 +145,31 @@ def imatch(docs: DataFrame) -> DataFrame:
         alone = lambda c: F.concat(F.lit("="), F.lower(F.hex(F.xxhash64(c))))
         held = F.struct(
             "doc_id", n.cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-            alone("text").alias("alone"), alone("edited").alias("edited_alone"), "block", "before",
+            alone("text").alias("alone"), alone("edited").alias("edited_alone"),
         )
         both = rows.withColumn("edited", edited).select(
-            "place", F.posexplode(F.array("text", "edited")).alias("side", "body"), held.alias("held")
+            "block", "place", F.posexplode(F.array("text", "edited")).alias("side", "body"), held.alias("held")
         )
-        each = both.select("place", "side", "held", F.explode(terms(F.col("body"))).alias("term"))
+        each = both.select("block", "place", "side", "held", F.explode(terms(F.col("body"))).alias("term"))
         # the empty term comes once a side; the text's other columns travel with that row only
-        narrow = each.select("place", "side", "term", F.when((F.col("term") == "") & (F.col("side") == 0), F.col("held")).alias("held"))
+        narrow = each.select("block", "place", "side", "term", F.when((F.col("term") == "") & (F.col("side") == 0), F.col("held")).alias("held"))
         side = lambda k: F.collect_list(F.when(F.col("side") == k, F.col("code")))
-        found = with_codes(narrow).groupBy("place").agg(
+        found = with_codes(narrow).groupBy("block", "place").agg(
             F.first("held", ignorenulls=True).alias("held"), side(0).alias("codes"), side(1).alias("edited_codes")
         )
-        flat = found.select("place", "held.*", "codes", "edited_codes")
+        flat = found.select("block", "place", "held.*", "codes", "edited_codes")
         both = add_fingerprint(flat, "codes", "alone", "fingerprint")
         both = add_fingerprint(both, "edited_codes", "edited_alone", "edited_fingerprint")
         return both.drop("codes", "edited_codes", "alone", "edited_alone")
 
-    prints = materialize(marked(with_next(in_blocks(texts), "text")), "fingerprints")
-    return with_next(prints, "fingerprint").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next")).alias("near_next"),
-    )
+    parts = next_of_each(add_block(texts), ["doc_id", "hash", "text"], "text")
+    prints = materialize(marked(parts[0]).unionByName(marked(parts[1])), "fingerprints").withColumnRenamed("place", "rank")
+    near = [
+        part.select(
+            "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+            likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+            likeness(F.col("fingerprint"), F.col("next")).alias("near_next"),
+        )
+        for part in next_of_each(prints, ["rank"], "fingerprint")
+    ]
+    return near[0].unionByName(near[1])
