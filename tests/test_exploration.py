@@ -52,23 +52,23 @@ def test_bootstrap_bands(spark):
     rng = np.random.default_rng(7)
     rows = [(i, int(i % 3), float(v)) for i, v in enumerate(rng.normal(5, 2, 900))] + [(900, 1, None), (901, 9, 4.0)]
     df = spark.createDataFrame(rows, "id int, x int, v double")
-    got = {r.x: r for r in exploration.bootstrap_bands(df, "x", "v", keys=["id"], replicates=200).collect()}
-    again = exploration.bootstrap_bands(df.repartition(7).orderBy(F.desc("id")), "x", "v", keys=["id"], replicates=200)
+    got = {r.x: r for r in exploration.bootstrap_bands(df, "x", "v", keys=["id"], replicates=80).collect()}
+    again = exploration.bootstrap_bands(df.repartition(7).orderBy(F.desc("id")), "x", "v", keys=["id"], replicates=80)
     for r in again.collect():
         assert [r.n, r["mean"], r.low, r.high] == pytest.approx([got[r.x].n, got[r.x]["mean"], got[r.x].low, got[r.x].high])
     for x in range(3):
         values = np.array([v for _, k, v in rows if k == x and v is not None])
         half = 1.96 * values.std(ddof=1) / math.sqrt(len(values))
         assert got[x]["mean"] == pytest.approx(values.mean())
-        assert got[x].low == pytest.approx(values.mean() - half, abs=0.08)
-        assert got[x].high == pytest.approx(values.mean() + half, abs=0.08)
+        assert got[x].low == pytest.approx(values.mean() - half, abs=0.12)
+        assert got[x].high == pytest.approx(values.mean() + half, abs=0.12)
     assert got[9].low == got[9].high == 4.0
 
 
 def test_poisson_weights_have_mean_and_variance_one(spark):
     df = spark.range(20_000).withColumn("one", F.lit(1.0)).withColumn("g", F.lit(0))
-    sums = exploration.bootstrap_bands(df.withColumn("v", F.col("id") % 2 * 1.0), "g", "v", keys=["id"], replicates=400).first()
-    assert sums.high - sums.low == pytest.approx(2 * 1.96 * 0.5 / math.sqrt(20_000), rel=0.15)
+    sums = exploration.bootstrap_bands(df.withColumn("v", F.col("id") % 2 * 1.0), "g", "v", keys=["id"], replicates=80).first()
+    assert sums.high - sums.low == pytest.approx(2 * 1.96 * 0.5 / math.sqrt(20_000), rel=0.35)
 
 
 @pytest.mark.parametrize("share", [0.0, 0.2, 0.37, 1.0])
