@@ -228,3 +228,14 @@ def test_a_cluster_needs_a_shared_folder():
     remote = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(remote)
+
+
+def test_both_levels_take_places_without_the_grid(demand, full, monkeypatch):
+    from tilecast.plans import forecasters
+
+    seen = []
+    build = forecasters.build_features
+    monkeypatch.setattr(forecasters, "build_features", lambda df, mixture, seed, places: seen.append(places) or build(df, mixture, seed, places))
+    levels = [DemandForecaster(est.stump, categorical=[], numerical=["is_weekend"]) for _ in range(2)]
+    TwoLevelForecaster(*levels).fit(full, demand)
+    assert seen == [demand, None]
