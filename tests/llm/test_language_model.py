@@ -1,7 +1,9 @@
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +109,104 @@ def test_training_helps_held_out_texts_however_they_lie(spark, monkeypatch, part
     assert trained > untrained + 0.005 and trained > base
 
 
+def test_windows_of_many_lanes_take_few_calls():
+    """What Python does grows with lanes and windows, not with their product."""
+    texts = [np.zeros(20 * recurrent.WINDOW, np.uint16)] * 400
+    lanes, calls = recurrent.lane_texts(texts, 400), Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        n = sum(1 for _ in recurrent.windows(texts, lanes, LAYOUT.symbols))
+    finally:
+        sys.setprofile(None)
+    assert n == 20 and calls["call"] + calls["c_call"] < 400 * 20
+
+
+def test_windows_hold_every_token_once():
+    rng = np.random.default_rng(12)
+    texts = [rng.integers(0, 8, n) for n in (40, 0, 3, 64, 1, 7, 0, 33, 32)]
+    seen = [[] for _ in texts]
+    for x, y, of, begins in recurrent.windows(texts, recurrent.lane_texts(texts, 3), LAYOUT.symbols):
+        for b in range(x.shape[1]):
+            for t in np.flatnonzero(of[:, b] >= 0).tolist():
+                i = of[t, b]
+                assert begins[t, b] == (not seen[i]) and x[t, b] == (seen[i][-1] if seen[i] else LAYOUT.symbols)
+                seen[i].append(int(y[t, b]))
+        assert (x[of < 0] == LAYOUT.symbols).all() and not begins[of < 0].any()
+    assert seen == [t.tolist() for t in texts]
+    assert not list(recurrent.windows([], [], 8)) and not list(recurrent.windows(texts[1:2], [[0]], 8))
+
+
+def test_large_weights_leave_no_range():
+    rng = np.random.default_rng(13)
+    p = {k: (v * 300).astype(np.float32) for k, v in model().items()}
+    h, y = rng.uniform(-1, 1, (200, 6)).astype(np.float32), rng.integers(0, 8, 200)
+    got, slopes = recurrent.log_likelihoods(p, LAYOUT, LAYOUT.class_of(), h, y, {k: np.zeros_like(v) for k, v in p.items()})
+    exact = recurrent.log_likelihoods({k: v.astype(np.float64) for k, v in p.items()}, LAYOUT, LAYOUT.class_of(), h.astype(np.float64), y)
+    assert np.isfinite(slopes).all() and exact.min() < -100 and np.allclose(got, exact, rtol=1e-3, atol=1e-2)
+
+
+def test_rows_are_added_to_their_places():
+    rng = np.random.default_rng(14)
+    at, rows = np.append(rng.integers(0, 9, 300), [9, 11, 11]), rng.normal(size=(303, 4))
+    found, total = np.ones((12, 4)), np.ones((12, 4))
+    recurrent.add_rows(found, at, rows)
+    np.add.at(total, at, rows)
+    assert np.allclose(found, total)
+
+
+def test_first_step_follows_the_clipped_mean_slope():
+    p = model()
+    text = np.random.default_rng(15).integers(0, 8, 20)
+    lanes = recurrent.lane_texts([text], 1)
+    (x, y, _, begins), = recurrent.windows([text], lanes, LAYOUT.symbols)
+    grad, kept = {k: np.zeros_like(v) for k, v in p.items()}, []
+    states = recurrent.forward(p, x, begins, np.zeros((1, 6)), kept)
+    _, d = recurrent.log_likelihoods(p, LAYOUT, LAYOUT.class_of(), states[:, 0], y[:, 0], grad)
+    into = recurrent.backward(p, grad, kept, d[:, None], begins)
+    np.add.at(grad["into"], x.reshape(-1), into.reshape(-1, 18))
+    found, seen = recurrent.train(p, LAYOUT, [text], rate=0.01)
+    assert seen == 20
+    for k, v in p.items():
+        q = np.clip(grad[k] / 20, -0.1, 0.1)
+        assert np.allclose(found[k], v - 0.01 * q / (abs(q) + 1e-6), atol=1e-6), k
+
+
+def test_words_are_split_at_ascii_white_space():
+    chars = ["a", "B", " ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u00c9", "\u65e5", "\0"]
+    rng = np.random.default_rng(16)
+    texts = ["", " ", "A", *("".join(rng.choice(chars, n)) for n in rng.integers(0, 40, 300))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    at = 0
+    for piece in language_model.pieces([batch], 100):
+        words, codes, ends = language_model.split_words(piece.column("text"))
+        assert len(set(words)) == len(words) and list(dict.fromkeys(codes.tolist())) == list(range(len(words)))
+        for lo, hi in zip([0, *ends[:-1].tolist()], ends.tolist()):
+            assert [words[k] for k in codes[lo:hi]] == texts[at].encode().lower().split()
+            at += 1
+    assert at == len(texts)
+
+
+@pytest.mark.parametrize("most_words, most_tokens", [(5, 1000), (60, 25), (1000, 10_000)])
+def test_blocks_read_back_as_the_texts(spark, monkeypatch, most_words, most_tokens):
+    monkeypatch.setattr(language_model, "BLOCK_WORDS", most_words)
+    monkeypatch.setattr(language_model, "BLOCK_TOKENS", most_tokens)
+    rng = np.random.default_rng(17)
+    rows = [(d, " ".join(f"W{w}" for w in rng.zipf(1.5, n) % 90)) for d, n in enumerate(rng.integers(0, 30, 120).tolist())]
+    docs = spark.createDataFrame([*rows, (500, None), (501, "  ")], "doc_id long, text string").repartition(2)
+    found = language_model.to_blocks(docs, F.col("doc_id") % 3 == 0).collect()
+    words, counts = {}, Counter()
+    for r in sorted((r for r in found if r.radix >= 0), key=lambda r: (r.block, r.radix)):
+        hashes, _, n = language_model.opened(r.words)
+        words.setdefault(r.block, []).extend(hashes.view(np.int64).tolist())
+        counts.update(dict(zip(hashes.view(np.int64).tolist(), n.tolist())))
+    texts, expected = {d: [*(t or "").lower().encode().split(), b""] for d, t in [*rows, (500, ""), (501, "")]}, Counter()
+    got = {r.doc_id: [words[r.block][k] for k in np.frombuffer(r.tokens, f"<u{r.width}")] for r in found if r.radix < 0}
+    assert got == {d: [language_model._signed(w) for w in t] for d, t in texts.items()}
+    for d, t in texts.items():
+        expected.update(language_model._signed(w) for w in t if d % 3)
+    assert +counts == expected
+
+
 def test_training_raises_the_likelihood():
     rng = np.random.default_rng(4)
     texts = [np.tile([0, 3, 6], 20)[k : k + 50] for k in rng.integers(0, 3, 60)]

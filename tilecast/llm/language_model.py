@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -70,11 +71,9 @@ def to_blocks(docs: DataFrame, held_out, bits: int = 4) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             width = 2 if len(number) <= 1 << 16 else 4
-            counts = np.zeros(len(number), np.int64)
-            for _, out, ids in held:
-                if not out:
-                    counts += np.bincount(ids, minlength=len(number))
-            hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), np.uint64, len(number))
+            learned = [ids for _, out, ids in held if not out]
+            counts = np.bincount(np.concatenate(learned), minlength=len(number)) if learned else np.zeros(len(number), np.int64)
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number))
             kins = np.fromiter((zlib.crc32(w[-2:]) % GROUPS for w in number), np.int64, len(number))
             order = np.argsort(hashes)
             rank = np.empty(len(order), np.int64)
@@ -87,21 +86,63 @@ def to_blocks(docs: DataFrame, held_out, bits: int = 4) -> DataFrame:
             columns = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-        for batch in batches:
-            for doc, text, out in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "held_out")), strict=True):
-                words = text.encode().lower().split()
-                words.append(END)
-                if held and (size + len(words) > BLOCK_TOKENS or len(number) + len(set(words).difference(number)) > BLOCK_WORDS):
+        for batch in pieces(batches):
+            while batch.num_rows:
+                words, codes, ends = split_words(batch.column("text"))
+                at = np.fromiter(map(number.get, words, repeat(-1)), np.int32, len(words))
+                new = np.cumsum(at < 0)
+                # codes go by first places, so the highest so far counts the distinct words so far
+                grown = np.append(0, new)[np.maximum.accumulate(np.append(0, codes + 1))[ends]]
+                tokens = ends + np.arange(1, len(ends) + 1)
+                over = (size + tokens > BLOCK_TOKENS) | (len(number) + grown > BLOCK_WORDS)
+                fit = int(over.argmax()) if over.any() else len(ends)
+                if not fit and not held:
+                    fit = 1
+                if fit:
+                    n_new = int(grown[fit - 1])
+                    at[at < 0] = len(number) + np.arange(int(new[-1]) if len(new) else 0)
+                    fresh = [words[k] for k in np.flatnonzero(np.diff(new, prepend=0)).tolist()[:n_new]]
+                    number.update(zip(fresh, range(len(number), len(number) + n_new), strict=True))
+                    ids = np.insert(at[codes[: ends[fit - 1]]], ends[:fit], number[END])
+                    docs, outs = (batch.column(c)[:fit].to_pylist() for c in ("doc_id", "held_out"))
+                    held.extend(zip(docs, outs, np.split(ids, tokens[: fit - 1]), strict=True))
+                    size += len(ids)
+                if fit < len(ends):
                     yield flush()
                     block, number, held, size = block + 1, {END: 0}, [], 0
-                size += len(words)
-                held.append((doc, out, np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))))
+                batch = batch.slice(fit)
         if held:
             yield flush()
 
     return rows.mapInArrow(run, TOKENS)
 
 
+def pieces(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Iterator[pa.RecordBatch]:
+    """Rows of each batch with up to about ``most`` bytes of text together, so that what is split anew where a block ends stays small."""
+    for batch in batches:
+        part = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(), dtype=np.int64) // most
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            yield batch.slice(lo, hi - lo)
+
+
+def split_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of all texts, in the order of their first places; the place of each word among
+    them; and where each text's words end."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    coded = pc.dictionary_encode(split.flatten())
+    words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    codes, ends = coded.indices.to_numpy(), np.cumsum(pc.list_value_length(split).to_numpy())
+    if b"" in words:  # before and behind white space
+        none = words.index(b"")
+        there = codes != none
+        ends = np.append(0, np.cumsum(there))[ends]
+        codes = codes[there]
+        codes = codes - (codes > none)
+        del words[none]
+    return words, codes, ends
+
+
 def closed(hashes: np.ndarray, kins: np.ndarray, counts: np.ndarray) -> bytes:
     """Words in ascending order, their hashes as differences."""
     return packed(np.diff(hashes, prepend=np.uint64(0)), kins, counts)
