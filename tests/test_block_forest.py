@@ -39,7 +39,7 @@ def test_without_draws_the_trees_are_those_of_spark_ml(rows, depth):
 
 def test_with_draws_the_forest_explains_as_much_as_spark_mls(rows):
     want = RandomForestRegressor(numTrees=40, maxDepth=6, seed=1, predictionCol="want").fit(rows)
-    got = BlockForest(40, 6, 1, "label", "got").fit(rows)
+    got = BlockForest(40, 6, -1, "label", "got").fit(rows)
     both = want.transform(got.transform(rows))
     assert root_mean_square(both, "got") == pytest.approx(root_mean_square(both, "want"), rel=0.1)
     assert got.featureImportances.toArray() == pytest.approx(want.featureImportances.toArray(), abs=0.1)

@@ -49,17 +49,22 @@ class Level:
     gain: np.ndarray
     child: np.ndarray
 
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        """Each node's feature, and what follows on each of its bins.
+    def sides(self, both: np.ndarray, other, width: int) -> np.ndarray:
+        """What ``both`` has for the side that each node and bin goes to; unseen bins go right.
 
-        One node more than there are stands for all rows in leaves.
+        One node more than there are stands for all rows in leaves; it has ``other``.
         """
-        nodes, width = self.left.shape
+        nodes, seen = self.left.shape
+        found = np.full((nodes + 1, width), other, both.dtype)
+        found[:nodes] = both[:, 1:]
+        found[:nodes, :seen] = np.where(self.left, both[:, :1], both[:, 1:])
+        return found.ravel()
+
+    def table(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Each node's feature, and what follows on each of its bins."""
         closed = int(self.child.max(initial=-1)) + 1
-        following = np.full((nodes + 1, width), closed)
-        following[:nodes] = np.where(self.left, self.child[:, :1], self.child[:, 1:])
-        following[following < 0] = closed
-        return np.append(self.feature.astype(np.int64), 0), following.ravel()
+        following = self.sides(np.where(self.child < 0, closed, self.child), closed, width)
+        return np.append(self.feature.astype(np.int64), 0), following
 
 
 @dataclass
@@ -123,7 +128,7 @@ def _sums(trees: list[list[Level]], pieces: list[Piece], sizes: list[int], kind:
     d, width = len(sizes), max(sizes)
 
     def run(blocks):
-        tables = {p.tree: [level.table() for level in trees[p.tree]] for p in pieces}
+        tables = {p.tree: [level.table(width) for level in trees[p.tree]] for p in pieces}
         places = [np.ascontiguousarray(p.drawn.T.astype(np.int64)) for p in pieces]
         found = None
         for *block, number in blocks:
@@ -251,6 +256,7 @@ class BlockForest(OnBins):
     ):
         super().__init__(n_trees, depth, seed, label, prediction, max_bins, features)
         self.share, self.bootstrap = share, bootstrap
+        self.entropy = seed % 2**64  # numpy takes no negative seeds
 
     def _fit(self, dataset: DataFrame) -> BlockForestModel:
         rows, borders, sizes, kind = self._binned(dataset)
@@ -275,7 +281,7 @@ class BlockForest(OnBins):
                 break
             found = []
             for part in _passes(pieces, taken * max(sizes)):
-                sums = _sums(trees, part, sizes, kind, self.seed, self.bootstrap)
+                sums = _sums(trees, part, sizes, kind, self.entropy, self.bootstrap)
                 split = _splits(part, borders, max(sizes))
                 shuffled = blocks.mapPartitions(sums).partitionBy(min(len(part), parallel), int)
                 found += [r for _, r in sorted(shuffled.mapPartitions(split).collect(), key=lambda r: r[0])]
@@ -295,7 +301,7 @@ class BlockForest(OnBins):
         return trees
 
     def _pieces(self, tree: int, level: int, nodes: int, taken: int, sizes: list[int]) -> list[Piece]:
-        draws = np.random.default_rng([self.seed, tree, level]).random((nodes, len(sizes)))
+        draws = np.random.default_rng([self.entropy, tree, level]).random((nodes, len(sizes)))
         drawn = np.sort(np.argsort(draws, axis=1)[:, :taken], axis=1).astype(np.uint16)
         most = max(1, CELLS // (taken * max(sizes)))
         return [Piece(tree, i, min(i + most, nodes), drawn[i : i + most]) for i in range(0, nodes, most)]
@@ -321,42 +327,50 @@ class BlockForestModel(Model):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         trees, borders, d, width = self.trees, self.borders, len(self.sizes), max(self.sizes) + 1
 
+        tables = []
+
         def score(x: pa.Array) -> pa.Array:
+            if not tables:  # once per task
+                for tree in trees:
+                    values = [level.sides(level.worth, 0.0, width) for level in tree]
+                    tables.append([(*level.table(width), v, len(level.gain)) for level, v in zip(tree, values)])
             x = x.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
             bins = np.empty(x.shape, np.int64)
             for j, border in enumerate(borders):
-                # a level never seen goes right
-                known = np.isin(x[:, j], np.arange(width - 1)) if border is None else True
-                bins[:, j] = np.where(known, x[:, j], width - 1) if border is None else np.searchsorted(border, x[:, j])
+                if border is None:  # the last bin is for levels never seen
+                    bins[:, j] = np.where(np.isin(x[:, j], np.arange(width - 1)), x[:, j], width - 1)
+                else:
+                    bins[:, j] = np.searchsorted(border, x[:, j])
             total = np.zeros(len(x))
-            for tree in trees:
-                total += _predict(tree, bins)
+            for tree in tables:
+                total += _predict(tree, width, bins.ravel(), np.arange(0, bins.size, d))
             return pa.array(total / len(trees), pa.float64())
 
         score.__annotations__ = {"x": pa.Array, "return": pa.Array}
         return dataset.withColumn(self.prediction, F.arrow_udf(score, "double")(vector_to_array(self.features)))
 
 
-def _predict(tree: list[Level], bins: np.ndarray) -> np.ndarray:
-    found = np.zeros(len(bins))
-    rows, node = np.arange(len(bins)), np.zeros(len(bins), np.int64)
-    for level in tree:
-        value = bins[rows, level.feature[node]]
-        side = 1 - (level.left[node, np.minimum(value, level.left.shape[1] - 1)] & (value < level.left.shape[1]))
-        found[rows] = level.worth[node, side]
-        node = level.child[node, side]
-        alive = np.flatnonzero(node >= 0)
-        rows, node = rows[alive], node[alive]
+def _predict(tree: list, width: int, flat: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The mean of the leaf that each row ends in."""
+    found, node = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
+    for feature, following, worth, nodes in tree:
+        cell = flat.take(feature.take(node) + rows) + node * width
+        np.copyto(found, worth.take(cell), where=node < nodes)
+        node = following.take(cell)
     return found
 
 
 class Forest(BlockForest):
-    """A forest that is Spark ML's own, with its draws, up to ``SPARK_ML_ROWS`` rows."""
+    """A forest that is Spark ML's own, with its draws, up to ``SPARK_ML_ROWS`` rows.
+
+    As there, a node sees a third of the features, and all of them where there is one tree only.
+    """
+
+    def __init__(self, n_trees, depth, seed, label, prediction):
+        super().__init__(n_trees, depth, seed, label, prediction, 1 / 3 if n_trees > 1 else 1.0)
 
     def _fit(self, dataset: DataFrame) -> Model:
         if self.depth > 0 and dataset.count() > SPARK_ML_ROWS:
             return super()._fit(dataset)
-        return RandomForestRegressor(
-            numTrees=self.n_trees, maxDepth=self.depth, seed=self.seed, maxBins=self.max_bins, bootstrap=self.bootstrap,
-            labelCol=self.label, predictionCol=self.prediction, featuresCol=self.features,
-        ).fit(dataset)
+        columns = {"labelCol": self.label, "predictionCol": self.prediction, "featuresCol": self.features}
+        return RandomForestRegressor(numTrees=self.n_trees, maxDepth=self.depth, seed=self.seed, **columns).fit(dataset)
